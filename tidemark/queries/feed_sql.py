@@ -40,7 +40,7 @@ messages as (
 """
 
 
-def _latest(kind: str, table: str, key: str, values: str) -> str:
+def _latest(kind: str, table: str, key: str, values: str, stated: str) -> str:
     return f"""
   {kind}_latest as (
     select snapshot_id, sidechain_number, {key} as description_hash, arg_max({values}, row(loaded_at, {values})) as v
@@ -48,7 +48,7 @@ def _latest(kind: str, table: str, key: str, values: str) -> str:
   {kind}_runs as (
     select r.deploy_id, r.snapshot_id, r.snapshot_at, row_number() over w as n, lead(r.snapshot_at) over w as next_at, lead(r.snapshot_id) over w as next_id
     from snapshot_runs r left join (select snapshot_id, count(*) as held from {kind}_latest group by 1) c using (snapshot_id)
-    where coalesce(held, 0) >= {{stated}}
+    where coalesce(held, 0) >= {stated}
     window w as (partition by r.deploy_id order by r.snapshot_at, r.snapshot_id))"""
 
 
@@ -59,7 +59,7 @@ def _p3(kind: str, table: str, key: str, values: str, stated: str) -> str:
     return f"""
   select '{kind}' as item_kind, deploy_id, sidechain_number, description_hash,
     cast(floor(epoch_us(min(snapshot_at)) / 1000000) as bigint) as valid_from,
-    coalesce(cast(floor(epoch_us(arg_max(next_at, n)) / 1000000) as bigint), -1) as valid_to
+    coalesce(cast(floor(epoch_us(arg_max({{ends: next_at}}, n).ends) / 1000000) as bigint), -1) as valid_to
   from (
     select *, sum(fresh) over (partition by deploy_id, sidechain_number, description_hash order by n) as version
     from (
@@ -93,7 +93,7 @@ _KIND = {
 
 
 def _with(which: int, kinds: tuple[str, ...]) -> str:
-    return "with " + ",".join(_latest(k, _KIND[k][0], _KIND[k][1], _KIND[k][3 + which]).format(stated=_KIND[k][2]) for k in kinds)
+    return "with " + ",".join(_latest(k, _KIND[k][0], _KIND[k][1], _KIND[k][3 + which], _KIND[k][2]) for k in kinds)
 
 
 _REFS = f"""

@@ -3,26 +3,20 @@
 A plain window gathers every row of a key in one task. Here each key is cut into chunks along its order (a day, a
 range of ordinals): rows meet only within (key, chunk), and what has to cross a chunk's edge travels in one summary
 row per (key, chunk), made by a pre-aggregated group-by. Only those summaries are windowed by key. The chunk column
-must not fall as the order rises.
+must not fall as the order rises. Keys and chunk must not be null; a struct of nullable columns is a key that never is.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    out = F.lit(True)
-    for n in names:
-        out = out & left[n].eqNullSafe(right[n])
-    return out
-
-
 def _attach(df: DataFrame, edges: DataFrame, names: list[str]) -> DataFrame:
-    """Give each row the edge columns of its (key, chunk)."""
+    """Give each row the edge columns of its (key, chunk); rows stay where the window put them, only edges move."""
     right = edges.withColumnsRenamed({n: f"__{n}" for n in names})
-    on = F.lit(True)
-    for n in names:
-        on = on & df[n].eqNullSafe(right[f"__{n}"])
+    on = reduce(and_, [df[n] == right[f"__{n}"] for n in names])
     return df.join(right, on, "left").drop(*[f"__{n}" for n in names])
 
 

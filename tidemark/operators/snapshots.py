@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunked
+from tidemark.sources.scratch import Scratch
 
 ORDINALS_PER_CHUNK = 1024
 
@@ -21,7 +22,8 @@ def digest(*cols: Column) -> Column:
 def latest_rows(rows: DataFrame, snapshot: str, keys: list[str], version: str, values: list[str]) -> DataFrame:
     """Of several rows for one snapshot and key the one with the greatest ``version`` (null: least; ties: greatest values)."""
     pick = F.max_by(F.struct(*values), F.struct(version, *values)).alias("__v")
-    return rows.groupBy(snapshot, *keys).agg(pick).select(snapshot, *keys, *[F.col(f"__v.{v}").alias(v) for v in values])
+    latest = rows.groupBy(snapshot, *keys).agg(pick).select(snapshot, *keys, *[F.col(f"__v.{v}").alias(v) for v in values])
+    return Scratch(rows.sparkSession, "snapshots").table(latest, "latest")
 
 
 def complete_snapshots(runs: DataFrame, latest: DataFrame, snapshot: str, series: str, at: str, stated: str, chunk: Column) -> DataFrame:
@@ -32,10 +34,11 @@ def complete_snapshots(runs: DataFrame, latest: DataFrame, snapshot: str, series
     """
     held = latest.groupBy(F.col(snapshot).alias("__s")).agg(F.count(F.lit(1)).alias("__held"))
     whole = runs.select(snapshot, series, at, stated).join(held, F.col(snapshot) == F.col("__s"), "left").where(F.coalesce("__held", F.lit(0)) >= F.coalesce(stated, F.lit(0)))
-    whole = whole.select(snapshot, series, at, F.coalesce(chunk, F.lit(-(2**40))).cast("long").alias("__chunk"))
-    whole = chunked.row_number(whole, [series], "__chunk", [at, snapshot], "n")
-    whole = chunked.neighbour(whole, [series], "__chunk", ["n"], F.struct(snapshot, at), "__next", ahead=True)
-    return whole.select(snapshot, series, at, "n", F.col(f"__next.{snapshot}").alias("next_snapshot"), F.col(f"__next.{at}").alias("next_at"))
+    whole = whole.select(snapshot, F.struct(series).alias("__own"), at, F.coalesce(chunk, F.lit(-(2**40))).cast("long").alias("__chunk"))
+    whole = chunked.row_number(whole, ["__own"], "__chunk", [at, snapshot], "n")
+    whole = chunked.neighbour(whole, ["__own"], "__chunk", ["n"], F.struct(snapshot, at), "__next", ahead=True)
+    whole = whole.select(snapshot, "__own.*", at, "n", F.col(f"__next.{snapshot}").alias("next_snapshot"), F.col(f"__next.{at}").alias("next_at"))
+    return Scratch(runs.sparkSession, "snapshots").table(whole, "complete")  # one row per snapshot; short plans from here on
 
 
 def differences(latest: DataFrame, runs: DataFrame, snapshot: str, keys: list[str], values: list[str]) -> DataFrame:
@@ -69,14 +72,15 @@ def satellites(latest: DataFrame, runs: DataFrame, snapshot: str, series: str, k
         series, *keys, "n", "at", "next_at", F.floor(F.col("n") / ORDINALS_PER_CHUNK).alias("__chunk"),
         *[digest(*[F.col(c) for c in cols]).alias(f"d_{g}") for g, cols in groups.items()],
     )
-    own = [series, *keys]
-    rows = chunked.neighbour(rows, own, "__chunk", ["n"], F.struct("n", *[f"d_{g}" for g in names]), "before")
-    rows = chunked.neighbour(rows, own, "__chunk", ["n"], F.col("n"), "after", ahead=True)
+    rows = rows.select(F.struct(series, *keys).alias("__own"), "n", "at", "next_at", "__chunk", *[f"d_{g}" for g in names])
+    rows = chunked.neighbour(rows, ["__own"], "__chunk", ["n"], F.struct("n", *[f"d_{g}" for g in names]), "before")
+    rows = chunked.neighbour(rows, ["__own"], "__chunk", ["n"], F.col("n"), "after", ahead=True)
     fresh = F.col("before").isNull() | (F.col("before.n") < F.col("n") - 1)
     gone = F.col("next_at").isNotNull() & (F.col("after").isNull() | (F.col("after") > F.col("n") + 1))
     grow = [F.when(fresh | (F.col(f"before.d_{g}") != F.col(f"d_{g}")), F.struct(F.lit(g).alias("satellite"), F.col("n"), F.col("at"), F.col(f"d_{g}").alias("hash_diff"))) for g in names]
     end = [F.when(gone, F.struct(F.lit(g).alias("satellite"), (F.col("n") + 1).alias("n"), F.col("next_at").alias("at"), F.lit(None).cast("binary").alias("hash_diff"))) for g in names]
-    return rows.select(*own, F.inline(F.array_compact(F.array(*grow, *end))))
+    grown = rows.select("__own.*", F.inline(F.array_compact(F.array(*grow, *end))))
+    return Scratch(latest.sparkSession, "satellites").table(grown, "rows")
 
 
 def versions(sats: DataFrame, series: str, keys: list[str]) -> DataFrame:
@@ -85,8 +89,8 @@ def versions(sats: DataFrame, series: str, keys: list[str]) -> DataFrame:
     A version begins wherever some satellite has a row; it ends where the next row of any satellite of the key begins
     (null: never so far).
     """
-    own = [series, *keys]
-    points = sats.groupBy(*own, "n", "at").agg(F.max(F.col("hash_diff").isNotNull()).alias("lives"))
+    own = F.struct(series, *keys).alias("__own")
+    points = sats.groupBy(own, "n", "at").agg(F.max(F.col("hash_diff").isNotNull()).alias("lives"))
     points = points.withColumn("__chunk", F.floor(F.col("n") / ORDINALS_PER_CHUNK))
-    points = chunked.neighbour(points, own, "__chunk", ["n"], F.struct("at"), "__next", ahead=True)
-    return points.where("lives").select(*own, "n", F.col("at").alias("valid_from"), F.col("__next.at").alias("valid_to"))
+    points = chunked.neighbour(points, ["__own"], "__chunk", ["n"], F.struct("at"), "__next", ahead=True)
+    return points.where("lives").select("__own.*", "n", F.col("at").alias("valid_from"), F.col("__next.at").alias("valid_to"))

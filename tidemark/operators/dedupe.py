@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunked
+from tidemark.sources.scratch import Scratch
 
 FIRST_CAPACITY, BITS_PER_ITEM, HASHES = 2048, 12, 6
 
@@ -109,30 +110,25 @@ def surplus_deliveries(df: DataFrame, group: list[str], state: list[str], time:
     ``bucket_width``: width of a time bucket, in units of ``time``.
 
     A group of copies may hold a third of all rows: equal (group, state, time) are pre-aggregated before any shuffle,
-    and runs are found within (group, time bucket) and joined across the buckets' edges by summaries.
+    and runs are found within (group, time bucket) and joined across the buckets' edges by summaries. Groups and states are
+    structs, which are never null and whose null fields equal each other.
     """
+    box = Scratch(df.sparkSession, "repeats")
     rows = df.select(
-        *[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], *[F.col(s).alias(f"s{i}") for i, s in enumerate(state)],
+        F.struct(*group).alias("k"), F.struct(*state, F.lit(0).alias("__none")).alias("s"),
         F.coalesce(time, F.lit(-(2**53))).alias("t"), F.col(order).alias("seq"),
     )
-    gs, ss = [f"g{i}" for i in range(len(group))], [f"s{i}" for i in range(len(state))]
-    rows = rows.withColumn("grp", F.xxhash64(*gs)).withColumn("bucket", F.floor(F.col("t") / bucket_width).cast("long"))
-    repeats = possible_repeats(rows.select(F.xxhash64("grp", *ss).alias("message"), "grp", "bucket"))
-    near = rows.join(repeats, "grp").where("bucket between lo and hi").drop("grp", "lo", "hi")
-    points = near.groupBy(*gs, *ss, "t", "bucket").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
-    now = F.struct(*ss) if ss else F.struct(F.lit(0).alias("none"))
-    points = chunked.neighbour(points, gs, "bucket", ["t", *ss], now, "before")
-    begins = F.col("before").isNull() | ~F.col("before").eqNullSafe(now)
-    points = chunked.running_max(points, gs, "bucket", ["t", *ss], F.when(begins, F.struct("t", *ss)), "run")
-    run = points.groupBy(*gs, "run").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
-    run = run.withColumnsRenamed({g: f"r{g}" for g in gs} | {"n": "copies"})
-    on = F.col("run").eqNullSafe(F.col("rrun"))
-    for g in gs:
-        on = on & F.col(g).eqNullSafe(F.col(f"r{g}"))
-    kept = points.join(run.withColumnRenamed("run", "rrun"), on).select(*[F.col(c).alias(f"k{c}") for c in [*gs, *ss, "t"]], "kept", (F.col("n") == 1).alias("single"), F.col("first"))
-    alone = kept.where("single and first <> kept").select(F.col("first").alias("seq"))
-    on = F.lit(True)
-    for c in [*gs, *ss, "t"]:
-        on = on & near[c].eqNullSafe(F.col(f"k{c}"))
-    many = near.join(kept.where("not single"), on).where("seq <> kept").select("seq")
+    rows = rows.withColumn("grp", F.xxhash64("k")).withColumn("bucket", F.floor(F.col("t") / bucket_width).cast("long"))
+    repeats = possible_repeats(rows.select(F.xxhash64("grp", "s").alias("message"), "grp", "bucket"))
+    near = rows.join(repeats, "grp").where("bucket between lo and hi").select("k", "s", "t", "bucket", "seq")
+    near = box.table(near, "near")
+    points = near.groupBy("k", "bucket", "s", "t").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    points = chunked.neighbour(points, ["k"], "bucket", ["t", "s"], F.col("s"), "before")
+    begins = F.col("before").isNull() | (F.col("before") != F.col("s"))
+    points = chunked.running_max(points, ["k"], "bucket", ["t", "s"], F.when(begins, F.struct("t", "s")), "run")
+    points = box.table(points.select("k", "s", "t", "run", "first", "n"), "points")
+    runs = points.groupBy("k", "run").agg(F.min("first").alias("kept"), F.sum("n").alias("copies")).where("copies > 1")
+    marked = points.join(runs, ["k", "run"])
+    alone = marked.where("n = 1 and first <> kept").select(F.col("first").alias("seq"))
+    many = near.join(marked.where("n > 1").select("k", "s", "t", "kept"), ["k", "s", "t"]).where("seq <> kept").select("seq")
     return alone.unionByName(many).withColumnRenamed("seq", order)

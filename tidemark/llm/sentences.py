@@ -69,6 +69,7 @@ LOWER_START = re.compile(r"[a-z](?:\.[a-z]\.|[a-z]*[A-Z])")
 PLAIN_NUMBER = re.compile(r"\d{1,2}")
 ANY_NUMBER = re.compile(r"[\d.,:/\-–]*\d")
 CONTINUES = frozenset(",;:–—-·؛،、，；：%)]}»”")
+NEVER_STARTS = frozenset(",;:!?)]}»”–—")
 AFTER_WORD = ",;:!?" + CLOSERS
 BLANKS_AND_CLOSERS = CLOSERS + " \t\r\n\xa0\u202f\u3000"
 HEADING_LENGTH = 160
@@ -359,6 +360,8 @@ class Reader:
         lower = nxt.islower()
         odd = lower and LOWER_START.match(token) is not None
         last = word[-1:]
+        if nxt in NEVER_STARTS:
+            return False
         if last.isdigit() and ANY_NUMBER.fullmatch(word):
             if not PLAIN_NUMBER.fullmatch(word):
                 return not lower or odd

@@ -52,3 +52,12 @@ def row_number(df: DataFrame, keys: list[str], chunk: str, order: list[str], out
     edges = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__edge")).withColumn("__edge", F.sum("__edge").over(over))
     near = df.withColumn("__near", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
     return _attach(near, edges, names).withColumn(out, F.col("__near") + F.coalesce("__edge", F.lit(0))).drop("__near", "__edge")
+
+
+def running_sum(df: DataFrame, chunk: str, order: list[str], value: Column, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the whole table up to and with this row in ``order``. No task gets more than a chunk."""
+    over = Window.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    edges = df.groupBy(chunk).agg(F.sum(value).alias("__edge")).withColumn("__edge", F.sum("__edge").over(over))
+    inside = Window.partitionBy(chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    near = df.withColumn("__near", F.sum(value).over(inside))
+    return _attach(near, edges, [chunk]).withColumn(out, F.col("__near") + F.coalesce("__edge", F.lit(0))).drop("__near", "__edge")

@@ -12,7 +12,8 @@ from tidemark.llm.bpe import TrieEncoder, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-PIECES_KEPT = 500_000
+PIECES_KEPT = 200_000
+TEXTS_AT_ONCE = 128
 #: a line break before a visible character is a word by itself, and no word reaches across it
 LINE = re.compile(r"\n(?=\S)")
 BLANKS = re.compile(r"\s\s|[^\S ]")
@@ -30,6 +31,12 @@ class CorpusEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed 4-byte ids of each text; those of a null or empty text are empty."""
+        out: list[bytes] = []
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            out += self._encode(texts[i : i + TEXTS_AT_ONCE])
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         known = self.pieces
         if len(known) > PIECES_KEPT:
             known.clear()

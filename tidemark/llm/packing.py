@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.scratch import Scratch
 
 ROWS_PER_TASK = 50_000
+MOST_TARGETS = 1_000
 NEARLY_FULL = 0.995
 LEAST_SAVED = 0.002
 MEMBERS = "array<struct<item:bigint,part:int,first:bigint,size:bigint>>"
@@ -80,17 +81,21 @@ def pack(items: DataFrame, targets: DataFrame, item: str, size: str, target: str
     """(target, container, item, part, first, size): where each piece of each item lies, for every target.
 
     ``item``: a unique bigint; ``size``: a bigint, null counts as 0; items of size 0 take no room but have a container as well.
-    ``targets``: few rows (they are broadcast; no more than 10,000 are allowed); those with a capacity that is null or below 1 are passed over.
+    ``targets``: no more than MOST_TARGETS different rows, checked; those with a capacity that is null or below 1 are passed over.
     An item is cut only if its size exceeds the capacity: into pieces of the capacity and one rest; ``first`` is the offset of a
     piece in its item. A container is named after its first piece, "item-part". Empty tables give no containers.
     """
     spark = items.sparkSession
     box = Scratch(spark, "pack")
-    few = targets.where(F.col(capacity) >= 1).select(F.col(target).alias("target"), F.col(capacity).cast("long").alias("capacity"))
-    if few.limit(10_001).count() > 10_000:
-        raise ValueError("more than 10,000 targets")
+    named = F.col(target).alias("target")
+    few = targets.where(F.col(capacity) >= 1).select(named, F.col(capacity).cast("long").alias("capacity"))
+    wanted = few.distinct().limit(MOST_TARGETS + 1).collect()
+    if len(wanted) > MOST_TARGETS:
+        raise ValueError(f"more than {MOST_TARGETS} targets")
+    kind = few.schema["target"].dataType.simpleString()
+    each = F.array(*[F.struct(F.lit(t["target"]).cast(kind).alias("target"), F.lit(t["capacity"]).cast("long").alias("capacity")) for t in wanted])
     sized = box.table(items.select(F.col(item).cast("long").alias("item"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size")), "sizes")
-    every = sized.join(F.broadcast(few), on=F.lit(True))
+    every = sized.select("item", "size", F.inline(each.cast(f"array<struct<target:{kind},capacity:bigint>>")))
     whole = F.when(F.col("size") > F.col("capacity"), F.floor((F.col("size") - 1) / F.col("capacity"))).otherwise(0).cast("int")
     every = every.withColumn("whole", whole)
     full = every.where("whole > 0").select("target", "item", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("part"), (F.col("part") * F.col("capacity")).alias("first"), F.col("capacity").alias("size"))
@@ -99,8 +104,8 @@ def pack(items: DataFrame, targets: DataFrame, item: str, size: str, target: str
         "target", "capacity", rest.alias("fill"),
         F.array(F.struct("item", F.col("whole").alias("part"), (F.col("whole") * F.col("capacity")).alias("first"), rest.alias("size"))).cast(MEMBERS).alias("members"),
     )
-    schema = f"target {few.schema['target'].dataType.simpleString()}, capacity bigint, fill bigint, members {MEMBERS}, final boolean"
-    open_bins, done, count = start, [], sized.count() * few.count()
+    schema = f"target {kind}, capacity bigint, fill bigint, members {MEMBERS}, final boolean"
+    open_bins, done, count = start, [], sized.count() * len(wanted)
     while count:
         tasks = -(-count // rows_per_task)
         watch = Observation()

@@ -4,8 +4,6 @@ Each function takes raw columns (types: ``schema.RAW_*``) and gives a ``Checked`
 against it, in reading order. ``normalized`` turns that into rows: failing fast or keeping the bad rows apart.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ def network(c: Column) -> Column:
 
 def chain_info(raw: Column) -> Checked:
     constants = raw["bip300_constants"]
-    filled = F.struct(*[F.coalesce(constants[f.name], F.lit(0)).alias(f.name) for f in schema.T._parse_datatype_string(schema.RAW_CONSTANTS).fields])
+    filled = F.struct(*[F.coalesce(constants[c], F.lit(0)).alias(c) for c in schema.CONSTANTS])
     return Checked(_struct(schema.KINDS["chain_info"], network=network(F.coalesce(raw["network"], F.lit(0))), bip300_constants=filled), missing(constants, "chain_info.bip300_constants"))
 
 
@@ -185,6 +183,3 @@ def normalized(df: DataFrame, timestamp: Column, kinds: dict[str, Checked], mode
     out = df.withColumn("error", error)
     return out.withColumn("event", F.when(F.col("error").isNull(), envelope(timestamp, {k: c.value for k, c in kinds.items()})))
 
-
-def any_of(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags)

@@ -16,13 +16,11 @@ RAW_WITHDRAWAL = f"struct<m6id:string,event:struct<failed:boolean,succeeded:stru
 RAW_BLOCK = f"struct<bmm_commitment:string,events:array<struct<deposit:{RAW_DEPOSIT},withdrawal_bundle:{RAW_WITHDRAWAL}>>>"
 RAW_CONNECT = f"struct<header_info:{RAW_HEADER},block_info:{RAW_BLOCK}>"
 RAW_SUBSCRIPTION = f"struct<connect_block:{RAW_CONNECT},disconnect_block:struct<block_hash:string>>"
-RAW_CONSTANTS = "struct<" + ",".join(
-    f"{c}:bigint"
-    for c in (
-        "withdrawal_bundle_max_age", "withdrawal_bundle_inclusion_threshold", "used_sidechain_slot_proposal_max_age",
-        "used_sidechain_slot_activation_threshold", "unused_sidechain_slot_proposal_max_age", "unused_sidechain_slot_activation_threshold", "activation_height",
-    )
-) + ">"
+CONSTANTS = (
+    "withdrawal_bundle_max_age", "withdrawal_bundle_inclusion_threshold", "used_sidechain_slot_proposal_max_age", "used_sidechain_slot_activation_threshold",
+    "unused_sidechain_slot_proposal_max_age", "unused_sidechain_slot_activation_threshold", "activation_height",
+)
+RAW_CONSTANTS = "struct<" + ",".join(f"{c}:bigint" for c in CONSTANTS) + ">"
 RAW_CHAIN_INFO = f"struct<network:int,bip300_constants:{RAW_CONSTANTS}>"
 RAW_CHAIN_TIP = f"struct<block_header_info:{RAW_HEADER}>"
 RAW_PROPOSALS = f"array<struct<sidechain_number:bigint,description:string,declaration:{RAW_DECLARATION},description_sha256d_hash:string,vote_count:bigint,proposal_height:bigint,proposal_age:bigint>>"
@@ -52,8 +50,8 @@ NETWORKS = ("network_unspecified", "network_unknown", "network_mainnet", "networ
 
 
 def event_type() -> T.StructType:
-    """EVENT as a type."""
-    return T._parse_datatype_string(EVENT)
+    """EVENT as a type; needs an active session."""
+    return T.StructType.fromDDL(EVENT.removeprefix("struct<").removesuffix(">"))
 
 
 def byte_fields(kind: T.DataType | None = None) -> set[str]:

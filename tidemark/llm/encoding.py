@@ -5,14 +5,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import TrieEncoder, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-PIECES_KEPT = 200_000
+PIECES_KEPT = 100_000
 TEXTS_AT_ONCE = 128
 #: a line break before a visible character is a word by itself, and no word reaches across it
 LINE = re.compile(r"\n(?=\S)")
@@ -55,6 +55,12 @@ class CorpusEncoder:
         return [first, *[" " + p for p in rest]]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts travel to Python 1,000 rows at a time, unless the session asks for another number than Spark's default."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def encoder(path: str) -> CorpusEncoder:
     """The encoder of a vocabulary file, one per Python worker."""
     if path not in _encoders:
@@ -68,6 +74,7 @@ def token_ids(docs: DataFrame, ident: str, text: str, vocabulary: str = f"{TOKEN
     The text of a special token is ordinary text. Null and empty texts have no ids (an empty list). No shuffle: every
     task walks the trie of the distinct words it meets. ``vocabulary`` must be readable under this path on every executor.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(ident, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +92,7 @@ def token_ids(docs: DataFrame, ident: str, text: str, vocabulary: str = f"{TOKEN
 
 def token_counts(docs: DataFrame, ident: str, text: str, vocabulary: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
     """(ident, tokens): the number of token ids of each text; 0 for null and empty texts."""
+    small_batches(docs.sparkSession)
     rows = docs.select(ident, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.encoding import small_batches
+
 LEAST_SHARE = 1e-5
 LEAST_COUNT = 3
 
@@ -476,6 +478,7 @@ def sentence_units(docs: DataFrame, ident: str, text: str) -> DataFrame:
     A unit reaches from its first non-blank character to just after its last. Null, empty and blank texts have none. Two passes
     over the texts and no shuffle of them: only word counts are.
     """
+    small_batches(docs.sparkSession)
     words, starters = corpus_evidence(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast((words, starters))
     rows = docs.select(ident, text)

@@ -25,6 +25,12 @@ def none() -> Column:
     return F.lit(None).cast("string")
 
 
+def once(c: Column) -> Column:
+    """``c``, computed once per row: the optimizer copies a column's expression into each of its uses, filters included,
+    unless it is not deterministic. Filters that can go to the scan belong before it."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def first_of(*errors: Column) -> Column:
     """The first reason that is not null."""
     return F.coalesce(*errors) if errors else none()

@@ -7,7 +7,7 @@ against it, in reading order. ``normalized`` turns that into rows: failing fast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.checks import Checked, each, first_of, hash_bytes, hex_bytes, missing, optional, required
+from tidemark.functions.checks import Checked, each, first_of, hash_bytes, hex_bytes, missing, once, optional, required
 from tidemark.sources import schema
 
 
@@ -180,6 +180,6 @@ def normalized(df: DataFrame, timestamp: Column, kinds: dict[str, Checked], mode
         error = F.when(error.isNotNull(), F.raise_error(error)).cast("string")
     elif mode != "permissive":
         raise ValueError(f"unknown mode {mode}")
-    out = df.withColumn("error", error)
-    return out.withColumn("event", F.when(F.col("error").isNull(), envelope(timestamp, {k: c.value for k, c in kinds.items()})))
+    out = df.withColumn("error", once(error))
+    return out.withColumn("event", once(F.when(F.col("error").isNull(), envelope(timestamp, {k: c.value for k, c in kinds.items()}))))
 

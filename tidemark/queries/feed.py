@@ -3,10 +3,12 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.checks import once
 from tidemark.functions.hexes import block_hash, hex_text, link_hash, plain_text
 from tidemark.operators import changes, dedupe, hierarchy, references, snapshots
 from tidemark.session import set_default
 
+BLOCKS = ("block_connected", "block_disconnected")
 DAY_MS, DAY_US, DAY_S = 86_400_000, 86_400_000_000, 86_400
 
 
@@ -19,7 +21,7 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def header_links(spark: SparkSession, folder: str) -> DataFrame:
-    rows = read(spark, folder, "block_headers").select(block_hash(F.col("hash")).alias("h"), link_hash(F.col("previous_hash")).alias("p"), "header_row_id")
+    rows = read(spark, folder, "block_headers").select(once(block_hash(F.col("hash"))).alias("h"), link_hash(F.col("previous_hash")).alias("p"), "header_row_id")
     return hierarchy.links(rows, F.col("h"), F.col("p"), F.col("header_row_id"))
 
 
@@ -43,16 +45,18 @@ def p1_descendants(spark: SparkSession, folder: str) -> DataFrame:
 # Problem 2
 
 
-def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid deliveries: what identifies the message, and its state."""
+def messages(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Valid deliveries, of some kinds only if any are named: what identifies the message, and its state."""
     feed = read(spark, folder, "enforcer_feed")
+    if kinds:
+        feed = feed.where(F.col("kind").isin(*kinds))
     block = F.coalesce(F.col("block_connected.header.hash"), F.col("block_disconnected.block_hash"))
     slot = F.coalesce(F.col("block_connected.sidechain_number"), F.col("block_disconnected.sidechain_number"), F.col("ctip.sidechain_number"))
     is_ctip = F.col("kind") == "ctip"
     time = F.col("event_ms").cast("bigint")
     rows = feed.select(
         "arrival_seq", "deploy_id", slot.alias("slot"), "kind", time.alias("time"), "arrival_ts",
-        F.when(is_ctip, F.concat(F.lit("ctip "), F.coalesce(time.cast("string"), F.lit("")))).otherwise(block_hash(block)).alias("token"),
+        F.when(is_ctip, F.concat(F.lit("ctip "), F.coalesce(time.cast("string"), F.lit("")))).otherwise(once(block_hash(block))).alias("token"),
         F.when(~is_ctip, F.col("block_connected.header.height")).alias("height"),
     )
     return rows.where("token is not null")
@@ -124,9 +128,9 @@ def _micros(c: str) -> Column:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    headers = read(spark, folder, "block_headers").withColumn("h", block_hash(F.col("hash"))).where("h is not null")
+    headers = read(spark, folder, "block_headers").withColumn("h", once(block_hash(F.col("hash")))).where("h is not null")
     runs = read(spark, folder, "snapshot_runs")
-    blocks = messages(spark, folder).where("kind in ('block_connected', 'block_disconnected')")
+    blocks = messages(spark, folder, BLOCKS)
 
     def refs(rows: DataFrame, table: str, ident: str, target: Column, time: str) -> DataFrame:
         return rows.select(F.lit(table).alias("ref_table"), F.col(ident).alias("ref_id"), F.date_format(time, "yyyy-MM-dd").alias("period"), target.alias("block"), _micros(time).alias("time"))
@@ -147,7 +151,7 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    feed = messages(spark, folder).where("kind in ('block_connected', 'block_disconnected')")
+    feed = messages(spark, folder, BLOCKS)
     rows = feed.select("deploy_id", F.col("slot").alias("sidechain_number"), F.col("token").alias("hash"), "time", "arrival_seq", "height", (F.col("kind") == "block_disconnected").alias("gone"))
     return changes.apply_changes(rows, ["deploy_id", "sidechain_number", "hash"], ["time", "arrival_seq"], "gone", ["height"])
 

@@ -4,10 +4,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tidemark.functions.checks import once
 from tidemark.functions.hexes import block_hash
 from tidemark.operators import contract, operations, snapshots
 from tidemark.plans import adapter, canonical_json, normalize, summary
-from tidemark.queries.feed import messages, read
+from tidemark.queries.feed import BLOCKS, messages, read
 from tidemark.sources import protobuf
 
 SLOTS = [9, 98]
@@ -25,7 +26,7 @@ def normalize_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 def render_summary(spark: SparkSession, folder: str) -> DataFrame:
     told = events(spark, folder).where("error is null")
-    return told.select("arrival_seq", summary.kind_of(F.col("event")).alias("kind"), summary.summary(F.col("event")).alias("summary")).where("summary is not null")
+    return told.select("arrival_seq", summary.kind_of(F.col("event")).alias("kind"), once(summary.summary(F.col("event"))).alias("summary")).where("summary is not null")
 
 
 def render_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,8 +71,8 @@ def nested_deposit_totals(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("deploy_id", "slot").agg(F.sum("sats").cast("bigint").alias("deposited"))
 
 
-def blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return messages(spark, folder).where("kind <> 'ctip'").withColumnRenamed("token", "hash")
+def blocks(spark: SparkSession, folder: str, kinds: tuple[str, ...] = BLOCKS) -> DataFrame:
+    return messages(spark, folder, kinds).withColumnRenamed("token", "hash")
 
 
 def dedupe_idempotent(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,7 +98,7 @@ def ctip_presence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return contract.distinct_blocks(blocks(spark, folder).where("kind = 'block_connected'"), ["deploy_id"])
+    return contract.distinct_blocks(blocks(spark, folder, BLOCKS[:1]), ["deploy_id"])
 
 
 def kind_dispatch(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,7 +113,7 @@ def tip_consistency(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the tip stood still during each snapshot, and whether the deployment's stream told that block as well."""
     tips = [block_hash(F.col(c)) for c in ("tip_before", "tip_hash", "tip_after")]
     runs = read(spark, folder, "snapshot_runs").select("snapshot_id", "deploy_id", contract.tips_agree(*tips).alias("consistent"), tips[1].alias("hash"))
-    live = blocks(spark, folder).where("kind = 'block_connected'").select("deploy_id", "hash").distinct().withColumn("live", F.lit(True))
+    live = blocks(spark, folder, BLOCKS[:1]).select("deploy_id", "hash").distinct().withColumn("live", F.lit(True))
     return runs.join(live, ["deploy_id", "hash"], "left").select("snapshot_id", "consistent", F.coalesce("live", F.lit(False)).alias("seen_live"))
 
 
@@ -204,7 +205,7 @@ def log_match(spark: SparkSession, folder: str) -> DataFrame:
 
 def undelivered(spark: SparkSession, folder: str) -> DataFrame:
     """Slots of a deployment that were never told its newest connected block."""
-    rows = blocks(spark, folder).where("kind = 'block_connected'")
+    rows = blocks(spark, folder, BLOCKS[:1])
     newest = rows.groupBy("deploy_id").agg(F.max_by("hash", F.struct("time", "arrival_seq")).alias("hash"))
     expected = rows.select("deploy_id", "slot").distinct().join(newest, "deploy_id").select("deploy_id", "slot", "hash")
     return operations.undelivered(expected, rows, ["deploy_id", "slot", "hash"])

@@ -275,7 +275,7 @@ class Reader:
             elif c in GREEK_QUESTIONS:
                 free = s + 1
                 if free < size and GREEK.search(p, max(0, s - 40), s):
-                    end = self._closers(p, free)
+                    free = end = self._closers(p, free)
             else:
                 e = STOPS.match(p, s).end()
                 free = closed = self._closers(p, e)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import rows, table
+from tests.helpers import filled, rows, table
 from tidemark.operators import contract, operations
 
 SCHEMA = "slot bigint, hash string, kind string, arrival_seq bigint"
@@ -58,7 +58,7 @@ def test_ancestors(spark):
 
 
 def one(spark, value, expr, kind="string"):
-    return spark.createDataFrame([(value,)], f"x {kind}").select(expr(F.col("x"))).first()[0]
+    return filled(spark, f"x {kind}", [(value,)]).select(expr(F.col("x"))).first()[0]
 
 
 def test_history(spark):
@@ -99,7 +99,7 @@ def test_small_predicates(spark):
     assert not one(spark, b"abcd", lambda c: operations.payload_matches(c, 3, "00"), "binary")
     assert not one(spark, None, lambda c: operations.payload_matches(c, 3, "00"), "binary")
     named = lambda v: one(spark, v, lambda c: operations.any_named(c, "name", "x"), "array<struct<name:string>>")
-    assert named([("y",), ("x",)]) and not named([(None,)]) and not named([]) and not named(None)
+    assert named([{"name": "y"}, {"name": "x"}]) and not named([{"name": None}]) and not named([]) and not named(None)
     most = 2**64 - 1
     assert one(spark, most, lambda c: operations.saturating_add(c, F.lit(1)), "decimal(20,0)") == most
     assert one(spark, 4, lambda c: operations.saturating_add(c, F.lit(1)), "decimal(20,0)") == 5

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tests.helpers import filled
 from tidemark.plans import normalize, summary
 from tidemark.plans.canonical_json import full_json
 from tidemark.sources import protobuf, schema
@@ -25,7 +26,7 @@ CONSTANTS = dict(zip(schema.CONSTANTS, (10, 7, 20, 15, 30, 25, 100)))
 
 def read(spark, kind, value, function):
     """(value, error) of a raw message."""
-    df = spark.createDataFrame([(value,)], f"x {kind}")
+    df = filled(spark, f"x {kind}", [(value,)])
     got = function(F.col("x"))
     row = df.select(got.value.alias("v"), got.error.alias("e")).first()
     return row["v"], row["e"]
@@ -33,7 +34,7 @@ def read(spark, kind, value, function):
 
 def connect(spark, block=None, head=HEADER, slot=9):
     message = {"connect_block": {"header_info": head, "block_info": {"bmm_commitment": B(0x99), "events": []} if block is None else block}}
-    df = spark.createDataFrame([(slot, message)], f"slot bigint, x {schema.RAW_SUBSCRIPTION}")
+    df = filled(spark, f"slot bigint, x {schema.RAW_SUBSCRIPTION}", [(slot, message)])
     got = normalize.subscription_event(F.col("slot"), F.col("x"))["block_connected"]
     row = df.select(got.value.alias("v"), got.error.alias("e")).first()
     return row["v"], row["e"]
@@ -144,7 +145,7 @@ EVENTS = {
 
 
 def frame(spark, *events):
-    return spark.createDataFrame([(i, e) for i, e in enumerate(events)], f"i bigint, event {schema.EVENT}")
+    return filled(spark, f"i bigint, event {schema.EVENT}", list(enumerate(events)))
 
 
 def event(kind, value):

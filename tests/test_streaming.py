@@ -59,7 +59,9 @@ def test_consecutive_repeats(spark, tmp_path):
     for i, b in enumerate(batches):
         spark.createDataFrame(b, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
     live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{tmp_path}/in/*")
-    to_memory(pipeline.without_consecutive_repeats(live, ["slot", "hash"], schema), "runs")
+    runs = pipeline.without_consecutive_repeats(live, ["slot", "hash"], schema)
+    query = runs.writeStream.format("memory").queryName("runs").trigger(availableNow=True).start()  # a timeout keeps batches coming
+    assert query.awaitTermination(60)
     assert sorted(r["arrival_seq"] for r in spark.table("runs").collect()) == [1, 3, 5, 6, 8]
 
 
@@ -82,21 +84,20 @@ def test_snapshot_comes_first(spark, feed, tmp_path):
     assert seen[0] == (-1, 1) and [n for n, _ in seen[1:]] == list(range(len(seen) - 1)) and sum(c for _, c in seen[1:]) == feed[0].count()
 
 
-def test_source_and_sink(spark, tmp_path, monkeypatch):
+def test_source_and_sink(spark, tmp_path):
     inbox, out = tmp_path / "inbox", tmp_path / "out"
     inbox.mkdir()
-    monkeypatch.setenv("TIDEMARK_TEST_TRANSPORT", str(inbox))
     source.register(spark)
     for name in ("9-0", "9-1", "98-0", "7-0"):
         (inbox / name).write_bytes(name.encode())
-    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9,98").load()
+    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9,98").option("inbox", str(inbox)).load()
     query = live.writeStream.format("memory").queryName("live").start()
     query.processAllAvailable()
     (inbox / "9-2").write_bytes(b"9-2")
     query.processAllAvailable()
     query.stop()
     assert sorted(bytes(r["payload"]) for r in spark.table("live").collect()) == [b"9-0", b"9-1", b"9-2", b"98-0"]
-    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9").load()
+    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9").option("inbox", str(inbox)).load()
     query = live.select("payload").writeStream.format("payload_files").option("path", str(out)).option("checkpointLocation", str(tmp_path / "c")).start()
     drained(query)
     raw = b"".join((out / f).read_bytes() for f in sorted(os.listdir(out)) if f.endswith(".bin"))

@@ -3,8 +3,8 @@
 import os
 
 
-def poll(slot, after, timeout):
-    folder = os.environ["TIDEMARK_TEST_TRANSPORT"]
+def poll(slot, after, timeout, options):
+    folder = options["inbox"]
     found = sorted((int(f.split("-")[1]), f) for f in os.listdir(folder) if f.startswith(f"{slot}-"))
     for position, name in found:
         if position > after:

@@ -45,11 +45,12 @@ def once_per_key(events: DataFrame, keys: list[str], event_time: str, delay: str
     return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def without_consecutive_repeats(blocks: DataFrame, keys: list[str], columns: str, delay_ms: int = 86_400_000) -> DataFrame:
+def without_consecutive_repeats(blocks: DataFrame, keys: list[str], columns: str, delay_ms: int | None = None) -> DataFrame:
     """Connect and disconnect messages without those that repeat the last one of their key.
 
     ``blocks`` has ``keys``, kind, arrival_seq and the other fields of ``columns`` (a DDL string of what comes out). The state is
-    one kind per key and is dropped after ``delay_ms`` without a message. A batch's rows of one key meet in one task.
+    one kind per key; with ``delay_ms`` it is dropped after that time without a message (Spark then keeps running empty batches).
+    A batch's rows of one key meet in one task.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -58,13 +59,13 @@ def without_consecutive_repeats(blocks: DataFrame, keys: list[str], columns: str
             return
         last = state.get[0] if state.exists else None
         rows = pd.concat(list(batches)).sort_values("arrival_seq", kind="stable")
-        before = rows["kind"].shift(1)
-        before.iloc[0] = last
+        before = [last, *rows["kind"].iloc[:-1]]
         state.update((rows["kind"].iloc[-1],))
-        state.setTimeoutDuration(delay_ms)
-        yield rows[rows["kind"] != before]
+        if delay_ms is not None:
+            state.setTimeoutDuration(delay_ms)
+        yield rows[[k != b for k, b in zip(rows["kind"], before)]]
 
-    return blocks.groupBy(*keys).applyInPandasWithState(step, columns, "kind string", "append", "ProcessingTimeTimeout")
+    return blocks.groupBy(*keys).applyInPandasWithState(step, columns, "kind string", "append", "NoTimeout" if delay_ms is None else "ProcessingTimeTimeout")
 
 
 def counts_by_window(events: DataFrame, event_time: str, delay: str, width: str) -> DataFrame:

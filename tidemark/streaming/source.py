@@ -1,7 +1,8 @@
 """A live subscription per slot as a streaming source, and a payload sink, on Spark's Python data source API.
 
-The transport is a function that a deployment provides: ``module:function`` called with (slot, last position, timeout seconds),
-which returns an iterable of (position, payload bytes) after that position. The engine brings no network client.
+The transport is a function that a deployment provides: ``module:function`` called with (slot, last position, timeout seconds,
+options of the source), which returns an iterable of (position, payload bytes) after that position. The engine brings no network
+client; addresses and credentials are the transport's and reach it as options.
 """
 
 import importlib
@@ -28,6 +29,7 @@ class SlotStreamReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         module, _, name = options["transport"].partition(":")
         self.poll = getattr(importlib.import_module(module), name)
+        self.options = dict(options)
         self.slots = _slots(options["slots"])
         self.timeout = float(options.get("timeoutSeconds", "10"))
         if self.timeout < 1:
@@ -38,7 +40,7 @@ class SlotStreamReader(SimpleDataSourceStreamReader):
 
     def _rows(self, start: dict, end: dict | None) -> Iterator[tuple]:
         for s in self.slots:
-            for position, payload in self.poll(s, start[str(s)], self.timeout):
+            for position, payload in self.poll(s, start[str(s)], self.timeout, self.options):
                 if end is not None and position > end[str(s)]:
                     break
                 yield s, position, payload

@@ -2,7 +2,7 @@
 
 1. Screen. Only 8-byte digests of (group, message) and of the group travel, with the number of the delivery's time
    bucket. They are spread by message digest, so that every shard sees all deliveries of its messages, and a hot bucket
-   or source is spread over all shards. A shard keeps one growing Bloom filter per time bucket and one over all of them.
+   or source is spread over all shards. Copies within a batch of a scan become one row before they travel. A shard keeps one growing Bloom filter per time bucket and one over all of them.
    An identifier that the overall filter does not hold is definitely new. One that it holds is looked up in the filters
    of the buckets; group digest and range of the buckets that may hold a copy are what the screen gives out.
 2. Verify. Only groups with a possible repeat are read again, and of them only rows in the matching buckets. There the
@@ -64,11 +64,26 @@ class BloomFilter:
             np.bitwise_or.at(part, at >> np.uint64(3), (1 << (at & np.uint64(7))).astype(np.uint8))
 
 
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Before the shuffle, one row per (message, bucket) and batch, and whether the batch had more of them."""
+    for batch in batches:
+        message, grp, bucket = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        order = np.lexsort((bucket, message))
+        m, b = message[order], bucket[order]
+        head = np.ones(len(order), bool)
+        head[1:] = (m[1:] != m[:-1]) | (b[1:] != b[:-1])
+        starts = np.flatnonzero(head)
+        more = np.diff(np.append(starts, len(order))) > 1
+        at = order[starts]
+        yield pa.RecordBatch.from_arrays([pa.array(message[at]), pa.array(grp[at]), pa.array(bucket[at]), pa.array(more)], ["message", "grp", "bucket", "more"])
+
+
 def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(message, grp, bucket) of one shard -> (grp, lo, hi) of possible repeats."""
+    """(message, grp, bucket, more) of one shard -> (grp, lo, hi) of possible repeats."""
     overall, by_bucket = BloomFilter(), {}
     for batch in batches:
         message, grp, bucket = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        more = batch.column(3).to_numpy(zero_copy_only=False)
         ident = message.view(np.uint64)
         order = np.lexsort((bucket, ident))
         message_s, bucket_s = ident[order], bucket[order]
@@ -78,7 +93,7 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.append(starts[1:], len(order))
         unique, lo, hi = message_s[starts], bucket_s[starts].copy(), bucket_s[ends - 1].copy()
         again = overall.has(unique)
-        repeat = again | (ends - starts > 1)
+        repeat = again | (ends - starts > 1) | (np.maximum.reduceat(more[order], starts) if len(order) else again)
         known = np.flatnonzero(again)
         for b, f in by_bucket.items():
             match = known[f.has(unique[known])]
@@ -95,7 +110,8 @@ def possible_repeats(deliveries: DataFrame) -> DataFrame:
 
     ``deliveries`` has (message, grp, bucket), all bigint: digest of the message, digest of its group, time bucket.
     """
-    spread = deliveries.select("message", "grp", "bucket").repartition(F.col("message"))
+    combined = deliveries.select("message", "grp", "bucket").mapInArrow(_combine, "message bigint, grp bigint, bucket bigint, more boolean")
+    spread = combined.repartition(F.col("message"))
     found = spread.mapInArrow(_screen, "grp bigint, lo bigint, hi bigint")
     return found.groupBy("grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 

@@ -7,8 +7,8 @@ from tidemark.llm import sentences
 from tidemark.llm.sentences import Evidence, Reader, sentence_units, verdict
 
 WORDS = {
-    "Corp": (True, True, False), "Co": (True, True, False), "seq": (True, True, False), "v": (True, False, True), "H": (True, True, True), "Dr": (True, False, False), "No": (True, False, True),
-    "Nr": (True, False, True), "St": (True, False, False), "etc": (True, False, False), "м": (True, True, True), "г": (True, True, True), "م": (True, True, True), "ص": (True, False, True),
+    "Corp": (True, True, False), "Co": (True, True, False), "seq": (True, True, False), "v": (True, False, True), "v. H": (True, True, True), "Dr. H": (True, False, True), "Dr": (True, False, False), "No": (True, False, True),
+    "Nr": (True, False, True), "St": (True, False, False), "etc": (True, False, False), "# г": (True, True, True), "# م": (True, True, True),
 }
 STARTERS = {"The": 0.5, "Das": 0.5, "Der": 0.5, "No": 0.3, "KG": 0.0, "Senat": 0.0, "Orrick": 0.0, "Сумма": 0.4, "المبلغ": 0.5, "ردت": 0.0, "Quorell": 0.0}
 
@@ -53,6 +53,10 @@ def test_lines_of_their_own():
     assert cut(text) == ["Velpax", "Ada v. Orrin et al.", "Docket No. 12A-2/15", "II. Analysis of the Grounds", "1. It is so.", "The end.", "- 2 -   Docket No. 12A-2/15   of 3", "Dr. A, presiding; Dr. B, concurring"]
 
 
+def test_languages_mixed_in_a_document():
+    assert cut("พยานตอบ ศาลยก\n\nThe end. It is so.\n\nพยาน The end. ศาลยก") == ["พยานตอบ", "ศาลยก", "The end.", "It is so.", "พยาน The end.", "ศาลยก"]
+
+
 def test_line_breaks():
     assert cut("It broke\nhere. The\nend.\n\nNext one.") == ["It broke\nhere.", "The\nend.", "Next one."]
     assert cut("One line.\nTwo. Three.\nFour.") == ["One line.", "Two.", "Three.", "Four."]
@@ -83,7 +87,8 @@ def test_verdicts():
     assert verdict(0, 0, 500, 0)[:2] == (True, False)
     assert verdict(60, 0, 30, 10) == (True, True, False)
     assert verdict(2, 0, 60, 38) == (False, True, False)
-    assert verdict(0, 0, 90, 10, True)[0]
+    assert verdict(0, 0, 90, 10, True)[:2] == (True, True) and verdict(0, 0, 90, 0, True)[:2] == (True, False)
+    assert verdict(0, 0, 30, 1) is None
 
 
 def test_evidence():

@@ -30,6 +30,7 @@ from tidemark.llm.encoding import small_batches
 
 LEAST_SHARE = 1e-5
 LEAST_COUNT = 3
+SURE = 60
 
 TERMINATORS = ".!?…。！？｡؟۔।॥"
 STRONG = frozenset("!?。！？｡؟۔।॥")
@@ -57,7 +58,7 @@ BRACKETS = {
 STOPS = re.compile(f"[{re.escape(TERMINATORS)}]+")
 GREEK_QUESTIONS = ";\u037e"
 MARKS = re.compile("[" + re.escape(TERMINATORS + GREEK_QUESTIONS + "".join(QUOTES) + "".join(BRACKETS)) + "]")
-THAI_MARKS = re.compile(rf"[{re.escape('!?…' + ''.join(QUOTES) + ''.join(BRACKETS))}]|(?<=[{THAI}])\s+(?=[{THAI}])")
+THAI_MARKS = re.compile(MARKS.pattern + rf"|(?<=[{THAI}])\s+(?=[{THAI}])")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 THAI_BYTES = (b"\xe0\xb8", b"\xe0\xb9")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿𠀀-𯿿]")
@@ -75,7 +76,7 @@ NEVER_STARTS = frozenset(",;:!?)]}»”–—")
 AFTER_WORD = ",;:!?" + CLOSERS
 BLANKS_AND_CLOSERS = CLOSERS + " \t\r\n\xa0\u202f\u3000"
 HEADING_LENGTH = 160
-HEAD_PARAGRAPHS = 6
+HEAD_PARAGRAPHS = 4
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
@@ -127,12 +128,12 @@ def is_thai(text: str) -> bool:
 
 
 def sentence_paragraphs(text: str) -> Iterator[str]:
-    """The paragraphs of a text that hold sentences; none of a Thai text, where the full stop ends nothing."""
-    if text and not is_thai(text):
-        parts = paragraphs(text)
+    """The paragraphs of a text that hold sentences; none in Thai, where the full stop ends nothing."""
+    if text:
+        parts, thai = paragraphs(text), is_thai(text)
         for a, b in parts[head_length(text, parts) :]:
             p = text[a:b]
-            if not is_line(p):
+            if not is_line(p) and not (thai and is_thai(p)):
                 yield p
 
 
@@ -150,6 +151,12 @@ def _bare(token: str) -> str:
     return _clean(word).rstrip(".")
 
 
+def pair(before: str, letter: str) -> str:
+    """What a single letter is known by: the word before it, numbers being alike, and the letter ("w. N", "Col. H")."""
+    before = _clean(before.lstrip(OPENERS))
+    return f"{'#' if before[-1:].isdigit() else before} {letter}"
+
+
 class Evidence:
     """Counts of how words behave where that is certain."""
 
@@ -172,11 +179,11 @@ class Evidence:
         for i, token in enumerate(tokens):
             last = token[-1:]
             if last == ".":
-                self._stop(token[:-1], tokens[i + 1])
+                self._stop(token[:-1] if len(token) != 2 or not i else pair(tokens[i - 1], token[:1]), tokens[i + 1])
             elif last in STRONG_OR_CLOSER and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK and tokens[i + 1]:
                 self.starts[_bare(tokens[i + 1])] += 1
             elif last in ",;:" and token[-2:-1] == ".":
-                self._stop(token[:-2], ",")
+                self._stop(token[:-2] if len(token) != 3 or not i else pair(tokens[i - 1], token[:1]), ",")
 
     def _stop(self, word: str, after: str) -> None:
         first = after[:1]
@@ -202,14 +209,20 @@ class Evidence:
 
 #: (is an abbreviation, may end a sentence, goes on with a digit)
 NORMAL, ABBREVIATION = (False, True, False), (True, False, False)
+DAMAGED = (True, True, True)  # only what follows can tell
 
 
-def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool]:
-    """What counts of a word before a stop say about it. A single letter is an abbreviation or an initial in any case."""
+def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool] | None:
+    """What counts of a word before a stop say about it; None if they are too few to tell a name from an abbreviation.
+
+    A single letter is an abbreviation or an initial in any case.
+    """
     total = lower + digit + other + end
     inside = lower + digit
     if initial:
-        return (True, end > 0.005 * total, True)
+        return (True, end > 0.01 * total, digit > 0.1 * total)
+    if not inside and total < SURE:
+        return None
     if end and inside <= 0.1 * total and end >= 0.08 * total:
         return NORMAL
     if end < 0.004 * total or not end:
@@ -232,10 +245,11 @@ class Reader:
         doc = _Document(text, parts, head)
         for i, (a, b) in enumerate(parts):
             p = text[a:b]
-            if i < head or b - a < HEADING_LENGTH and ((not thai or not is_thai(p)) and is_line(p) or DOCKET.search(p) and is_line(p)):
+            here = thai and is_thai(p)
+            if i < head or is_line(p) and (not here or DOCKET.search(p)):
                 out += (a, b)
             else:
-                self._cut(p, a, out, doc, thai)
+                self._cut(p, a, out, doc, here)
         return out
 
     def _cut(self, p: str, base: int, out: list[int], doc: "_Document", thai: bool) -> None:
@@ -354,8 +368,10 @@ class Reader:
                 return False
         nxt = "“" if token.startswith("â€œ") else token[:1]
         before = p[s - 1 : s]
-        if before > "\u08ff" and ("\u0900" <= before <= "\u097f" or CJK.match(before)):
+        if before > "\u08ff" and ("\u0900" <= before <= "\u097f" or "\u0e00" <= before <= "\u0e7f" or CJK.match(before)):
             return False
+        if len(word) == 1 and word.isalpha():
+            word = pair((p[max(0, at - 40) : at].split() or [""])[-1], word) if "\n" not in p[at:s] else pair((p[max(0, s - 40) : s - 1].split() or [""])[-1], word)
         return self._stop_ends(p, closed, word, token, nxt, doc)
 
     def _stop_ends(self, p: str, closed: int, word: str, token: str, nxt: str, doc: "_Document") -> bool:
@@ -367,7 +383,7 @@ class Reader:
         if last.isdigit() and ANY_NUMBER.fullmatch(word):
             if not PLAIN_NUMBER.fullmatch(word):
                 return not lower or odd
-            return not nxt.isdigit() and not lower and self._rate(_bare(token), doc) >= 0.1
+            return not nxt.isdigit() and not lower and (nxt == "§" or self._rate(_bare(token), doc) >= 0.1)
         if not last.isalpha():
             return not lower or odd
         known = self.words.get(word)
@@ -384,8 +400,6 @@ class Reader:
             return self._is_sentence(p, p.find(nxt, closed))
         if nxt in OPENERS:
             return True
-        if len(word) == 1:  # an initial: only a word that often begins sentences anywhere ends the name
-            return self.starters.get(_bare(token), 0.0) >= 0.3
         return self._rate(_bare(token), doc) >= 0.1
 
     @staticmethod
@@ -400,7 +414,9 @@ class Reader:
         lower, digit, other, end = doc.before(word)
         if lower + digit and not end and lower + digit >= other:
             return ABBREVIATION
-        if len(word) == 1 or "." in word and word.replace(".", "").isalpha():
+        if "�" in word or "Ã" in word:
+            return DAMAGED
+        if word[-2:-1] == " " or "." in word and word.replace(".", "").isalpha():
             return ABBREVIATION
         return NORMAL
 
@@ -467,7 +483,8 @@ def corpus_evidence(docs: DataFrame, text: str) -> tuple[dict[str, tuple[bool, b
         keep = keep | ((F.col("kind") == kind) & (F.col("n") >= n))
     rows = sums.where(keep).collect()  # at most 1 / LEAST_SHARE words of each kind
     sums.unpersist()
-    words = {r["word"]: verdict(r["a"], r["b"], r["c"], r["d"], len(r["word"]) == 1) for r in rows if r["kind"] == "stop"}
+    told = {r["word"]: verdict(r["a"], r["b"], r["c"], r["d"], r["word"][-2:-1] == " ") for r in rows if r["kind"] == "stop"}
+    words = {w: v for w, v in told.items() if v}
     starters = {r["word"]: r["a"] / r["n"] for r in rows if r["kind"] == "start" and r["n"] >= 10}
     return words, starters
 

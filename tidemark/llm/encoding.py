@@ -12,11 +12,15 @@ from tidemark.llm.bpe import TrieEncoder, read_ranks
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
-PIECES_KEPT = 100_000
-TEXTS_AT_ONCE = 128
+PIECES_KEPT = 400_000
+TEXTS_AT_ONCE = 256
 #: a line break before a visible character is a word by itself, and no word reaches across it
 LINE = re.compile(r"\n(?=\S)")
 BLANKS = re.compile(r"\s\s|[^\S ]")
+#: so is a single blank between visible characters, which belongs to the word after it
+BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: in scripts without blanks, a letter or digit after a punctuation mark begins a word
+MARK = re.compile(r"(?<=[。，；：、？！”」』）])(?=[^\W_])")
 
 _encoders: dict[str, "CorpusEncoder"] = {}
 
@@ -28,6 +32,7 @@ class CorpusEncoder:
         self.trie = TrieEncoder(ranks)
         self.break_id = self.trie.encode(["\n"])[0]
         self.pieces: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}  # the same for pieces after a blank, which is not in the key
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed 4-byte ids of each text; those of a null or empty text are empty."""
@@ -37,22 +42,40 @@ class CorpusEncoder:
         return out
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        known = self.pieces
-        if len(known) > PIECES_KEPT:
+        known, after = self.pieces, self.after_blank
+        if len(known) + len(after) > PIECES_KEPT:
             known.clear()
-        cut = [[self._cut(line) for line in LINE.split(t)] if t else [] for t in texts]
-        unknown = list({p for lines in cut for line in lines for p in line} - known.keys())
-        known.update(zip(unknown, self.trie.encode(unknown)))
-        get = known.__getitem__
-        return [self.break_id.join([b"".join(map(get, line)) for line in lines]) for lines in cut]
-
-    @staticmethod
-    def _cut(line: str) -> list[str]:
-        """Pieces of a line: a single blank between visible characters starts one."""
-        if BLANKS.search(line) or line[:1] == " " or line[-1:] == " ":
-            return [line]
-        first, *rest = line.split(" ")
-        return [first, *[" " + p for p in rest]]
+            after.clear()
+        out: list[list[bytes]] = []
+        waiting: list[tuple[list[bytes], int, list[str], dict[str, bytes]]] = []
+        for text in texts:
+            ids: list[bytes] = []
+            for line in LINE.split(text) if text else ():
+                first, rest, table = self._cut(line)
+                try:
+                    ids.append(known[first] + b"".join([table[p] for p in rest]))
+                except KeyError:
+                    waiting.append((ids, len(ids), [first, *rest], table))
+                    ids.append(b"")
+            out.append(ids)
+        self._learn({p for _, _, pieces, table in waiting for p in (pieces[:1] if table is after else pieces)}, known, "")
+        self._learn({p for _, _, pieces, table in waiting if table is after for p in pieces[1:]}, after, " ")
+        for ids, at, (first, *rest), table in waiting:
+            ids[at] = known[first] + b"".join([table[p] for p in rest])
+        return [self.break_id.join(ids) for ids in out]
+
+    def _learn(self, pieces: set[str], table: dict[str, bytes], lead: str) -> None:
+        new = list(pieces - table.keys())
+        table.update(zip(new, self.trie.encode([lead + p for p in new])))
+
+    def _cut(self, line: str) -> tuple[str, list[str], dict[str, bytes]]:
+        """A line's first piece, the others, and the table that holds those; cut where a word begins whatever stands around."""
+        if " " not in line:
+            first, *rest = (line,) if line.isascii() else MARK.split(line)
+            return first, rest, self.pieces
+        odd = BLANKS.search(line) or line[:1] == " " or line[-1:] == " "
+        first, *rest = BLANK.split(line) if odd else line.split(" ")
+        return first, rest, self.after_blank
 
 
 def small_batches(spark: SparkSession) -> None:

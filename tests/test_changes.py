@@ -1,7 +1,7 @@
 import random
 
 from tests.helpers import rows, table
-from tidemark.operators.changes import apply_changes
+from tidemark.operators.changes import apply_changes, batch_shares
 
 SCHEMA = "k1 string, k2 bigint, t bigint, seq bigint, gone boolean, v string, __batch int"
 
@@ -35,8 +35,8 @@ def test_base_rows_stay_unless_touched(spark):
 def test_random_with_nulls(spark):
     rng = random.Random(2)
     data = [(rng.choice(["a", "b", "", None]), rng.choice([1, 2, None]), rng.choice([None, *range(40)]), i, rng.random() < 0.3, str(i)) for i in range(400)]
-    for n in (1, 2, 7):
-        assert applied(spark, data, batches=n) == brute(data)
+    for newest in (500, 100, 3):
+        assert applied(spark, data, newest=newest, growth=2) == brute(data)
 
 
 def test_hot_key_and_null_flag(spark):
@@ -47,3 +47,13 @@ def test_hot_key_and_null_flag(spark):
 def test_empty(spark):
     assert applied(spark, []) == []
     assert applied(spark, [], [("a", 1, "x")]) == [("a", 1, "x")]
+
+
+def test_batches_grow_with_the_feed():
+    assert batch_shares(0) == batch_shares(20_000) == []
+    assert batch_shares(80_000) == [0.75] and len(batch_shares(10**6)) == 3 and len(batch_shares(10**9)) == 8
+
+
+def test_hot_key_over_many_batches(spark):
+    data = [("hot", 1, i, i, i % 3 == 0, str(i)) for i in range(3000)] + [(str(i), 1, i, i, False, "v") for i in range(300)]
+    assert applied(spark, data, newest=50) == brute(data)

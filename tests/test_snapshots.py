@@ -71,6 +71,21 @@ def test_random(spark):
     assert versions(spark, runs, items) == found
 
 
+def test_appended_in_parts(spark):
+    rng = random.Random(8)
+    runs = [(i, rng.choice([1, 2, None]), i * 3, rng.choice([0, 1, 2])) for i in range(50)]
+    items = [(rng.randrange(50), rng.choice(["a", "b", None]), 1, rng.choice([None, 1]), rng.choice([None, "x"])) for _ in range(150)]
+    latest, whole = both(spark, runs, items)
+    groups = {"fast": ["fast"], "slow": ["slow"]}
+    stored = None
+    for last in (4, 50):
+        ends = F.when((F.col("n") < last) & F.col("next_at").isNotNull(), F.col("next_at"))
+        more = snapshots.satellites(latest, whole.where(F.col("n") <= last).withColumn("next_at", ends), "sid", "dep", ["key"], groups, stored)
+        stored = more if stored is None else stored.unionByName(more)
+    assert rows(stored) == rows(snapshots.satellites(latest, whole, "sid", "dep", ["key"], groups))
+    assert rows(snapshots.versions(stored, "dep", ["key"]), "dep", "key", "valid_from", "valid_to") == brute(runs, items)[1]
+
+
 def test_incomplete_is_passed_over(spark):
     runs = [(1, 1, 10, 1), (2, 1, 20, 2), (3, 1, 30, 1), (4, 1, 40, 0)]
     items = [(1, "a", 1, 5, "x"), (2, "a", 1, 6, "x"), (3, "a", 1, 5, "x")]

@@ -20,21 +20,6 @@ def _attach(df: DataFrame, edges: DataFrame, names: list[str]) -> DataFrame:
     return df.join(right, on, "left").drop(*[f"__{n}" for n in names])
 
 
-def neighbour(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: Column, out: str, ahead: bool = False) -> DataFrame:
-    """Add ``out``: ``value`` of the preceding (``ahead``: following) row of the key in ``order``, null at its end.
-
-    ``value`` must not be null itself where the difference between "none" and "null" matters; pass a struct then.
-    """
-    names = [*keys, chunk]
-    rank = F.struct(*order)
-    edge = (F.min_by if ahead else F.max_by)(value, rank)
-    over = Window.partitionBy(*keys).orderBy(F.col(chunk).desc() if ahead else F.col(chunk))
-    edges = df.groupBy(*names).agg(edge.alias("__edge")).withColumn("__edge", F.lag("__edge").over(over))
-    inside = Window.partitionBy(*names).orderBy(*[F.col(o).desc() if ahead else F.col(o) for o in order])
-    near = df.withColumn("__v", value).withColumn("__near", F.lag("__v").over(inside))
-    return _attach(near, edges, names).withColumn(out, F.coalesce("__near", "__edge")).drop("__v", "__near", "__edge")
-
-
 def running_max(df: DataFrame, keys: list[str], chunk: str, order: list[Column | str], value: Column, out: str) -> DataFrame:
     """Add ``out``: the greatest ``value`` of the key up to and with this row in ``order``; nulls are passed over."""
     names = [*keys, chunk]
@@ -45,13 +30,24 @@ def running_max(df: DataFrame, keys: list[str], chunk: str, order: list[Column |
     return _attach(near, edges, names).withColumn(out, F.greatest("__near", "__edge")).drop("__v", "__near", "__edge")
 
 
-def row_number(df: DataFrame, keys: list[str], chunk: str, order: list[str], out: str) -> DataFrame:
-    """Add ``out``: 1, 2, ... within the key in ``order``."""
+def around(df: DataFrame, keys: list[str], chunk: str, order: list[str], value: Column, before: str | None = None, after: str | None = None, number: str | None = None) -> DataFrame:
+    """Add, in one pass, what is asked for by name: ``value`` of the preceding and of the following row of the key in ``order`` (null at
+    its ends; ``value`` itself must not be null), and the row's number within the key from 1."""
     names = [*keys, chunk]
-    over = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    edges = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__edge")).withColumn("__edge", F.sum("__edge").over(over))
-    near = df.withColumn("__near", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
-    return _attach(near, edges, names).withColumn(out, F.col("__near") + F.coalesce("__edge", F.lit(0))).drop("__near", "__edge")
+    rank, over = F.struct(*order), Window.partitionBy(*keys).orderBy(chunk)
+    inside = Window.partitionBy(*names).orderBy(*order)
+    asked = {
+        "before": (before, F.max_by(value, rank), lambda c: F.lag(c).over(over), F.lag("__v").over(inside)),
+        "after": (after, F.min_by(value, rank), lambda c: F.lead(c).over(over), F.lead("__v").over(inside)),
+        "number": (number, F.count(F.lit(1)), lambda c: F.sum(c).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.row_number().over(inside)),
+    }
+    asked = {k: v for k, v in asked.items() if v[0]}
+    edges = df.groupBy(*names).agg(*[v[1].alias(f"__e_{k}") for k, v in asked.items()])
+    edges = edges.select(*names, *[v[2](f"__e_{k}").alias(f"__e_{k}") for k, v in asked.items()])
+    near = df.withColumn("__v", value).withColumns({f"__n_{k}": v[3] for k, v in asked.items()})
+    joined = _attach(near, edges, names)
+    out = {v[0]: F.coalesce(f"__n_{k}", f"__e_{k}") if k != "number" else F.col("__n_number") + F.coalesce("__e_number", F.lit(0)) for k, v in asked.items()}
+    return joined.withColumns(out).drop("__v", *[f"__{x}_{k}" for k in asked for x in "ne"])
 
 
 def running_sum(df: DataFrame, chunk: str, order: list[str], value: Column, out: str) -> DataFrame:

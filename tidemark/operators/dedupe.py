@@ -139,7 +139,7 @@ def surplus_deliveries(df: DataFrame, group: list[str], state: list[str], time:
     near = rows.join(repeats, "grp").where("bucket between lo and hi").select("k", "s", "t", "bucket", "seq")
     near = box.table(near, "near")
     points = near.groupBy("k", "bucket", "s", "t").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
-    points = chunked.neighbour(points, ["k"], "bucket", ["t", "s"], F.col("s"), "before")
+    points = chunked.around(points, ["k"], "bucket", ["t", "s"], F.col("s"), before="before")
     begins = F.col("before").isNull() | (F.col("before") != F.col("s"))
     points = chunked.running_max(points, ["k"], "bucket", ["t", "s"], F.when(begins, F.struct("t", "s")), "run")
     points = box.table(points.select("k", "s", "t", "run", "first", "n"), "points")

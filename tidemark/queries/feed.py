@@ -76,48 +76,74 @@ def _declaration() -> list[Column]:
     return [F.col(d).isNull(), plain_text(F.col(f"{d}.title")), plain_text(F.col(f"{d}.description")), hex_text(F.col(f"{d}.hash_id_1")), hex_text(F.col(f"{d}.hash_id_2"))]
 
 
-#: item kind: table, count in snapshot_runs, key, attributes of the history by rate of change, all compared fields
+#: item kind: table, count in snapshot_runs, whether the description's hash is a part of the key, all compared fields
 ITEMS = {
-    "proposal": ("proposal_snapshots", "proposal_count", True, {"age": ["proposal_age"], "votes": ["vote_count"]}, lambda: [hex_text(F.col("description")), F.col("vote_count"), F.col("proposal_height"), F.col("proposal_age"), *_declaration()]),
-    "active": ("active_snapshots", "sidechain_count", False, {"votes": ["vote_count"], "activation": ["activation_height"]}, lambda: [hex_text(F.col("description")), F.col("vote_count"), F.col("proposal_height"), F.col("activation_height"), *_declaration()]),
-    "ctip": ("ctip_snapshots", "ctip_count", False, {}, lambda: [hex_text(F.col("ctip.txid")), F.col("ctip.vout"), F.col("ctip.value"), F.col("ctip.sequence_number")]),
+    "proposal": ("proposal_snapshots", "proposal_count", True, lambda: [hex_text(F.col("description")), F.col("vote_count"), F.col("proposal_height"), F.col("proposal_age"), *_declaration()]),
+    "active": ("active_snapshots", "sidechain_count", False, lambda: [hex_text(F.col("description")), F.col("vote_count"), F.col("proposal_height"), F.col("activation_height"), *_declaration()]),
+    "ctip": ("ctip_snapshots", "ctip_count", False, lambda: [hex_text(F.col("ctip.txid")), F.col("ctip.vout"), F.col("ctip.value"), F.col("ctip.sequence_number")]),
 }
+KINDS = list(ITEMS)
 KEYS = ["sidechain_number", "description_hash"]
+#: attributes of the history by rate of change
+HISTORY = {"proposal": {"fast": "proposal_age", "slow": "vote_count"}, "active": {"fast": "vote_count", "slow": "activation_height"}}
 
 
-def snapshot_items(spark: SparkSession, folder: str, kind: str, values: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """The latest row of each snapshot and key, and the complete snapshots in order."""
-    table, stated, described, _, _ = ITEMS[kind]
-    rows = read(spark, folder, table).withColumn("__key", hex_text(F.col("description_hash")) if described else F.lit(""))
-    rows = rows.select("snapshot_id", "sidechain_number", F.col("__key").alias("description_hash"), "loaded_at", *[c.alias(n) for n, c in values.items()])
-    latest = snapshots.latest_rows(rows, "snapshot_id", KEYS, "loaded_at", list(values))
-    runs = read(spark, folder, "snapshot_runs").withColumn("at", F.unix_micros(F.col("snapshot_at").cast("timestamp")))
-    return latest, snapshots.complete_snapshots(runs, latest, "snapshot_id", "deploy_id", "at", stated, F.floor(F.col("at") / DAY_US))
+def snapshot_items(spark: SparkSession, folder: str, values: dict[str, dict[str, Column]]) -> tuple[DataFrame, DataFrame]:
+    """The latest row of each snapshot and key, and the complete snapshots in order, of all kinds in ``values`` at once.
+
+    A snapshot is a struct of kind and snapshot_id here, a series one of kind and deploy_id.
+    """
+    runs, every, told = read(spark, folder, "snapshot_runs"), None, []
+    for kind, fields in values.items():
+        table, stated, described, _ = ITEMS[kind]
+        code = F.lit(KINDS.index(kind)).alias("kind")
+        rows = read(spark, folder, table).withColumn("__key", hex_text(F.col("description_hash")) if described else F.lit(""))
+        rows = rows.select(F.struct(code, "snapshot_id").alias("snapshot"), "sidechain_number", F.col("__key").alias("description_hash"), "loaded_at", *[c.alias(n) for n, c in fields.items()])
+        every = rows if every is None else every.unionByName(rows)
+        told.append(F.struct(F.struct(code, "snapshot_id").alias("snapshot"), F.struct(code, "deploy_id").alias("series"), F.col(stated).alias("stated")))
+    latest = snapshots.latest_rows(every, "snapshot", KEYS, "loaded_at", list(next(iter(values.values()))))
+    runs = runs.select(F.unix_micros(F.col("snapshot_at").cast("timestamp")).alias("at"), F.inline(F.array(*told)))
+    return latest, snapshots.complete_snapshots(runs, latest, "snapshot", "series", "at", "stated", F.floor(F.col("at") / DAY_US))
+
+
+def _kind(code: str) -> Column:
+    return F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col(code) + 1).alias("item_kind")
+
+
+def history_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return snapshot_items(spark, folder, {kind: {rate: F.col(c) for rate, c in groups.items()} for kind, groups in HISTORY.items()})
+
+
+def _versions(sats: DataFrame) -> DataFrame:
+    second = lambda c: F.floor(F.col(c) / 1_000_000)
+    rows = snapshots.versions(sats, "series", KEYS)
+    return rows.select(_kind("series.kind"), "series.deploy_id", *KEYS, second("valid_from").alias("valid_from"), F.coalesce(second("valid_to"), F.lit(-1)).cast("bigint").alias("valid_to"))
+
+
+SATELLITES = {"fast": ["fast"], "slow": ["slow"]}
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    out = None
-    for kind in ("proposal", "active"):
-        groups = ITEMS[kind][3]
-        latest, runs = snapshot_items(spark, folder, kind, {c: F.col(c) for cols in groups.values() for c in cols})
-        rows = snapshots.versions(snapshots.satellites(latest, runs, "snapshot_id", "deploy_id", KEYS, groups), "deploy_id", KEYS)
-        second = lambda c: F.floor(F.col(c) / 1_000_000)
-        rows = rows.select(F.lit(kind).alias("item_kind"), "deploy_id", *KEYS, second("valid_from").alias("valid_from"), F.coalesce(second("valid_to"), F.lit(-1)).cast("bigint").alias("valid_to"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    latest, runs = history_items(spark, folder)
+    return _versions(snapshots.satellites(latest, runs, "snapshot", "series", KEYS, SATELLITES))
+
+
+def p3_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """The same history in two loads: satellites of the first half of each series' snapshots, then the rows that the rest appends."""
+    latest, runs = history_items(spark, folder)
+    half = runs.groupBy("series").agg(F.floor(F.max("n") / 2).alias("last"))
+    on = [runs["series"] == F.col("s")]
+    first = runs.join(half.withColumnRenamed("series", "s"), on).where("n <= last").withColumn("next_at", F.when(F.col("n") < F.col("last"), F.col("next_at"))).drop("s", "last")
+    stored = snapshots.satellites(latest, first, "snapshot", "series", KEYS, SATELLITES)
+    return _versions(stored.unionByName(snapshots.satellites(latest, runs, "snapshot", "series", KEYS, SATELLITES, stored)))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    out = None
-    for kind in ITEMS:
-        fields = {"image": snapshots.digest(*ITEMS[kind][4]())}
-        latest, runs = snapshot_items(spark, folder, kind, fields | ({"held": F.col("ctip").isNotNull()} if kind == "ctip" else {}))
-        present = latest.where("held") if kind == "ctip" else latest
-        found = snapshots.differences(present, runs, "snapshot_id", KEYS, ["image"])
-        series = runs.select(F.col("snapshot_id").alias("__run"), "deploy_id")
-        rows = found.join(series, F.col("snapshot_id") == F.col("__run")).select(F.lit(kind).alias("item_kind"), "deploy_id", "snapshot_id", *KEYS, "change")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    fields = {kind: {"image": snapshots.digest(*ITEMS[kind][3]()), "held": F.col("ctip").isNotNull() if kind == "ctip" else F.lit(True)} for kind in KINDS}
+    latest, runs = snapshot_items(spark, folder, fields)
+    found = snapshots.differences(latest.where("held"), runs, "snapshot", KEYS, ["image"])
+    series = runs.select(F.col("snapshot").alias("__run"), "series.deploy_id")
+    return found.join(series, F.col("snapshot") == F.col("__run")).select(_kind("snapshot.kind"), "deploy_id", "snapshot.snapshot_id", *KEYS, "change")
 
 
 # Problem 5
@@ -150,10 +176,31 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
 # Problem 6
 
 
-def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+def changes_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Connect and disconnect messages as changes; a block is known by the bytes of its hash."""
     feed = messages(spark, folder, BLOCKS)
-    rows = feed.select("deploy_id", F.col("slot").alias("sidechain_number"), F.col("token").alias("hash"), "time", "arrival_seq", "height", (F.col("kind") == "block_disconnected").alias("gone"))
-    return changes.apply_changes(rows, ["deploy_id", "sidechain_number", "hash"], ["time", "arrival_seq"], "gone", ["height"])
+    return feed.select("deploy_id", F.col("slot").alias("sidechain_number"), F.unhex("token").alias("hash"), "time", "arrival_seq", "height", (F.col("kind") == "block_disconnected").alias("gone"))
+
+
+def _connected(state: DataFrame) -> DataFrame:
+    return state.select("deploy_id", "sidechain_number", F.lower(F.hex("hash")).alias("hash"), "height")
+
+
+BLOCK = ["deploy_id", "sidechain_number", "hash"]
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _connected(changes.apply_changes(changes_of(spark, folder), BLOCK, ["time", "arrival_seq"], "gone", ["height"]))
+
+
+def p6_applied(spark: SparkSession, folder: str) -> DataFrame:
+    """The same table by applying the newer half of the feed to the blocks that were connected after the older half."""
+    rows = changes_of(spark, folder)
+    half = rows.agg(F.percentile_approx("time", 0.5, 10_000)).first()[0]
+    newer = F.coalesce(F.col("time") > F.lit(half), F.lit(False))
+    old = rows.where(~newer).groupBy(*BLOCK).agg(F.max_by(F.struct("gone", "height"), F.struct("time", "arrival_seq")).alias("last"))
+    base = old.where("not last.gone").select(*BLOCK, "last.height")
+    return _connected(changes.apply_changes(rows.where(newer), BLOCK, ["time", "arrival_seq"], "gone", ["height"], base))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p3_found, p4_found, p5_found, p5_report, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p3_found, p3_appended, p4_found, p5_found, p5_report, p6_found, p6_applied)}

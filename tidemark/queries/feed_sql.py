@@ -134,3 +134,5 @@ SQL = {
           from messages where kind <> 'ctip' and token is not null)
         select deploy_id, slot as sidechain_number, token as hash, height from ranked where k = 1 and kind = 'block_connected'""",
 }
+SQL["p3_appended"] = SQL["p3_found"]
+SQL["p6_applied"] = SQL["p6_found"]

@@ -23,6 +23,11 @@ def link_hash(c: Column) -> Column:
     return F.when(~text.rlike(r"\A0*\z"), text)
 
 
+def hash_key(text: Column) -> Column:
+    """Hex text (of ``block_hash`` or ``link_hash``) as a short key: the 32 bytes of a valid hash, more than 32 bytes for any other text."""
+    return F.when(text.rlike(r"\A[0-9a-f]{64}\z"), F.unhex(text)).otherwise(F.encode(F.concat(F.lit(" " * 33), text), "utf-8"))
+
+
 def plain_text(c: Column) -> Column:
     """Text without the white space around it."""
     return F.regexp_replace(c, rf"\A{BLANK}+|{BLANK}+\z", "")

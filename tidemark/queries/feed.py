@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.checks import once
-from tidemark.functions.hexes import block_hash, hex_text, link_hash, plain_text
+from tidemark.functions.hexes import block_hash, hash_key, hex_text, link_hash, plain_text
 from tidemark.operators import changes, dedupe, hierarchy, references, snapshots
 from tidemark.session import set_default
 
@@ -159,12 +159,12 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     blocks = messages(spark, folder, BLOCKS)
 
     def refs(rows: DataFrame, table: str, ident: str, target: Column, time: str) -> DataFrame:
-        return rows.select(F.lit(table).alias("ref_table"), F.col(ident).alias("ref_id"), F.date_format(time, "yyyy-MM-dd").alias("period"), target.alias("block"), _micros(time).alias("time"))
+        return rows.select(F.lit(table).alias("ref_table"), F.col(ident).alias("ref_id"), F.date_format(time, "yyyy-MM-dd").alias("period"), hash_key(target).alias("block"), _micros(time).alias("time"))
 
     every = refs(headers, "block_headers", "header_row_id", link_hash(F.col("previous_hash")), "loaded_at")
     every = every.unionByName(refs(blocks, "enforcer_feed", "arrival_seq", F.col("token"), "arrival_ts"))
     every = every.unionByName(refs(runs, "snapshot_runs", "snapshot_id", link_hash(F.col("tip_hash")), "snapshot_at"))
-    targets = headers.select(F.col("h").alias("block"), _micros("loaded_at").alias("since"), _micros("deleted_at").alias("until"))
+    targets = headers.select(hash_key(F.col("h")).alias("block"), _micros("loaded_at").alias("since"), _micros("deleted_at").alias("until"))
     return references.orphans(every, targets, ["block"], ["ref_table", "ref_id", "period"])
 
 
@@ -173,6 +173,25 @@ def p5_report(spark: SparkSession, folder: str) -> DataFrame:
     return references.per_period(p5_found(spark, folder))
 
 
+def p5_composite(spark: SparkSession, folder: str) -> DataFrame:
+    """Disconnect messages that refer by deployment, slot and hash to a block whose connection had not arrived, under each match semantics.
+
+    The key is null in part where a corrupted delivery's hash is not valid, and where it names slot 9, taken as "any slot" here.
+    """
+    feed = read(spark, folder, "enforcer_feed")
+    off = feed.where("kind = 'block_disconnected'").select(
+        "arrival_seq", "deploy_id", F.nullif(F.col("block_disconnected.sidechain_number"), F.lit(9)).alias("slot"), once(block_hash(F.col("block_disconnected.block_hash"))).alias("block"), _micros("arrival_ts").alias("time"),
+    )
+    on = feed.where("kind = 'block_connected'").select(
+        "deploy_id", F.col("block_connected.sidechain_number").alias("slot"), once(block_hash(F.col("block_connected.header.hash"))).alias("block"), _micros("arrival_ts").alias("since"), F.lit(None).cast("long").alias("until"),
+    )
+    out = None
+    for match in ("simple", "partial", "full"):
+        rows = references.orphans(off, on, ["deploy_id", "slot", "block"], ["arrival_seq"], match).select(F.lit(match).alias("match"), "arrival_seq", "reason")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # Problem 6
 
 
@@ -203,4 +222,4 @@ def p6_applied(spark: SparkSession, folder: str) -> DataFrame:
     return _connected(changes.apply_changes(rows.where(newer), BLOCK, ["time", "arrival_seq"], "gone", ["height"], base))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p3_found, p3_appended, p4_found, p5_found, p5_report, p6_found, p6_applied)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paths, p1_descendants, p2_found, p3_found, p3_appended, p4_found, p5_found, p5_report, p5_composite, p6_found, p6_applied)}

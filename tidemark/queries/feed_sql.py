@@ -136,3 +136,20 @@ SQL = {
 }
 SQL["p3_appended"] = SQL["p3_found"]
 SQL["p6_applied"] = SQL["p6_found"]
+_PARTS = f"""
+with refs as (
+  select arrival_seq, deploy_id as d, nullif(block_disconnected.sidechain_number, 9) as s, {_hash("block_disconnected.block_hash")} as h, arrival_ts as t
+  from enforcer_feed where kind = 'block_disconnected'),
+targets as (
+  select deploy_id as d, block_connected.sidechain_number as s, {_hash("block_connected.header.hash")} as h, min(arrival_ts) as since
+  from enforcer_feed where kind = 'block_connected' group by all),
+told as (
+  select arrival_seq, d is not null and s is not null and h is not null as whole, d is not null or s is not null or h is not null as any_part, t,
+    (select min(since) from targets x where (r.d is null or x.d = r.d) and (r.s is null or x.s = r.s) and (r.h is null or x.h = r.h)) as since
+  from refs r),
+orphans as (select *, case when since is null then 'missing' else 'late' end as reason from told where any_part and (since is null or since > t))
+"""
+SQL["p5_composite"] = f"""{_PARTS}
+  select 'simple' as match, arrival_seq, reason from orphans where whole union all select 'partial', arrival_seq, reason from orphans
+  union all select 'full', arrival_seq, case when told.whole then reason else 'partial' end
+    from told left join (select arrival_seq, reason from orphans) orphans using (arrival_seq) where (told.whole and orphans.reason is not null) or (told.any_part and not told.whole)"""

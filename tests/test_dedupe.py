@@ -4,14 +4,14 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.helpers import table
-from tidemark.operators.dedupe import BloomFilter, surplus_deliveries
+from tidemark.operators.dedupe import BloomFilter, BucketFilters, surplus_deliveries
 
 SCHEMA = "seq bigint, g string, h bigint, state string, t bigint, bucket string, grp string"
 
 
-def found(spark, data, width=100):
+def found(spark, data, width=100, **kw):
     df = table(spark, SCHEMA, [(*r, "b", "g") for r in data])
-    return sorted(r[0] for r in surplus_deliveries(df, ["g", "h"], ["state"], F.col("t"), "seq", width).collect())
+    return sorted(r[0] for r in surplus_deliveries(df, ["g", "h"], ["state"], F.col("t"), "seq", width, **kw).collect())
 
 
 def brute(data):
@@ -50,6 +50,7 @@ def test_random(spark):
     rng = random.Random(3)
     data = [(i, rng.choice(["a", "b", None, ""]), rng.randrange(3), rng.choice(["on", "off", None]), rng.randrange(1000)) for i in range(600)]
     assert found(spark, data) == brute(data)
+    assert found(spark, data, 10, chunk_width=3, most=5) == brute(data)  # passes over the periods, some by a shuffle
 
 
 def test_empty_and_no_repeats(spark):
@@ -66,3 +67,14 @@ def test_bloom_filter():
     assert f.has(some).all()
     assert f.has(other).mean() < 0.03
     assert not BloomFilter().has(some).any()
+
+
+def test_ranges_of_buckets():
+    filters = BucketFilters()
+    x = np.arange(1, 2001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for b in (3, 40, 700):
+        filters.add(x[:1000], np.full(1000, b), x[:1000])
+    lo, hi = np.full(2000, 50), np.full(2000, 50)
+    assert filters.overall.has(x[:1000]).all()
+    filters.widen(x, lo, hi, np.arange(2000))
+    assert (lo[:1000] == 3).all() and (hi[:1000] == 700).all() and (lo[1000:] == 50).mean() > 0.9

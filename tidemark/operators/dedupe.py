@@ -1,17 +1,22 @@
 """Messages delivered at least once: find every delivery that is not the kept copy of its message.
 
+0. Store. The deliveries are stored once, narrow, by period (a run of time buckets), without a shuffle.
 1. Screen. Only 8-byte digests of (group, message) and of the group travel, with the number of the delivery's time
    bucket. They are spread by message digest, so that every shard sees all deliveries of its messages, and a hot bucket
-   or source is spread over all shards. Copies within a batch of a scan become one row before they travel. A shard keeps one growing Bloom filter per time bucket and one over all of them.
-   An identifier that the overall filter does not hold is definitely new. One that it holds is looked up in the filters
-   of the buckets; group digest and range of the buckets that may hold a copy are what the screen gives out.
-2. Verify. Only groups with a possible repeat are read again, and of them only rows in the matching buckets. There the
-   comparison is exact, on the columns themselves; a false positive costs a look, never a result.
+   or source is spread over all shards. Copies within a batch of a scan become one row before they travel. A shard keeps one
+   growing Bloom filter per time bucket, one per span of buckets and one over all of them. An identifier that the overall
+   filter does not hold is definitely new. One that it holds is looked up in the spans and, of those that may hold it, in the
+   buckets; group digest and range of the buckets that may hold a copy are what the screen gives out.
+2. Verify. Only groups with a possible repeat are read again from storage, only in the periods that matched and only rows in the matching buckets. There
+   the comparison is exact, on the columns themselves; a false positive costs a look, never a result. Rows of all other groups
+   are left out before any shuffle: the candidates of as many periods as fit under a checked size are broadcast at a
+   time. A period whose candidates alone exceed it is joined by a shuffle.
 
 Filters grow by the number of identifiers they hold, so the rate of false positives stays the same at every size.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +27,10 @@ from tidemark.operators import chunked
 from tidemark.sources.scratch import Scratch
 
 FIRST_CAPACITY, BITS_PER_ITEM, HASHES = 2048, 12, 6
+SPAN = 32
+PERIODS = 16
+MOST_BROADCAST = 500_000
+ROWS_PER_SHARD = 5_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -78,9 +87,34 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(message[at]), pa.array(grp[at]), pa.array(bucket[at]), pa.array(more)], ["message", "grp", "bucket", "more"])
 
 
+class BucketFilters:
+    """One filter per time bucket, under one per span of SPAN buckets, under one over all."""
+
+    def __init__(self) -> None:
+        self.overall = BloomFilter()
+        self.spans: dict[int, BloomFilter] = {}
+        self.buckets: dict[int, dict[int, BloomFilter]] = {}
+
+    def widen(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray, known: np.ndarray) -> None:
+        """Widen the ranges lo to hi of the ``known`` positions of x by the buckets that may hold them."""
+        for span, over in self.spans.items():
+            near = known[over.has(x[known])]
+            for b, f in self.buckets[span].items() if len(near) else ():
+                match = near[f.has(x[near])]
+                lo[match], hi[match] = np.minimum(lo[match], b), np.maximum(hi[match], b)
+
+    def add(self, x: np.ndarray, buckets: np.ndarray, fresh: np.ndarray) -> None:
+        """Add identifiers with their buckets; ``fresh``: those that are definitely new."""
+        self.overall.add(fresh)
+        for b in np.unique(buckets).tolist():
+            span, mine = b // SPAN, np.unique(x[buckets == b])
+            self.spans.setdefault(span, BloomFilter()).add(mine)
+            self.buckets.setdefault(span, {}).setdefault(b, BloomFilter()).add(mine)
+
+
 def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(message, grp, bucket, more) of one shard -> (grp, lo, hi) of possible repeats."""
-    overall, by_bucket = BloomFilter(), {}
+    filters = BucketFilters()
     for batch in batches:
         message, grp, bucket = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         more = batch.column(3).to_numpy(zero_copy_only=False)
@@ -92,41 +126,64 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(head)
         ends = np.append(starts[1:], len(order))
         unique, lo, hi = message_s[starts], bucket_s[starts].copy(), bucket_s[ends - 1].copy()
-        again = overall.has(unique)
+        again = filters.overall.has(unique)
         repeat = again | (ends - starts > 1) | (np.maximum.reduceat(more[order], starts) if len(order) else again)
-        known = np.flatnonzero(again)
-        for b, f in by_bucket.items():
-            match = known[f.has(unique[known])]
-            lo[match], hi[match] = np.minimum(lo[match], b), np.maximum(hi[match], b)
-        overall.add(unique[~again])
-        for b in np.unique(bucket_s):
-            by_bucket.setdefault(int(b), BloomFilter()).add(np.unique(message_s[bucket_s == b]))
+        filters.widen(unique, lo, hi, np.flatnonzero(again))
+        filters.add(message_s, bucket_s, unique[~again])
         at = order[starts[repeat]]
         yield pa.RecordBatch.from_arrays([pa.array(grp[at]), pa.array(lo[repeat]), pa.array(hi[repeat])], ["grp", "lo", "hi"])
 
 
-def possible_repeats(deliveries: DataFrame) -> DataFrame:
+def possible_repeats(deliveries: DataFrame, shards: int) -> DataFrame:
     """(grp, lo, hi) of every group of which some message may have come more than once.
 
     ``deliveries`` has (message, grp, bucket), all bigint: digest of the message, digest of its group, time bucket.
     """
     combined = deliveries.select("message", "grp", "bucket").mapInArrow(_combine, "message bigint, grp bigint, bucket bigint, more boolean")
-    spread = combined.repartition(F.col("message"))
-    found = spread.mapInArrow(_screen, "grp bigint, lo bigint, hi bigint")
+    found = combined.repartition(shards, F.col("message")).mapInArrow(_screen, "grp bigint, lo bigint, hi bigint")
     return found.groupBy("grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def surplus_deliveries(df: DataFrame, group: list[str], state: list[str], time: Column, order: str, bucket_width: int) -> DataFrame:
+def _matching(stored: DataFrame, repeats: DataFrame, periods: list[int], most: int) -> list[DataFrame]:
+    """The stored rows of groups in ``repeats`` (grp, lo, hi, first, last: the period of lo and of hi), in their ranges, in passes over consecutive periods."""
+    spread = repeats.select("grp", "lo", "hi", F.explode(F.sequence("first", "last")).alias("__period"))
+    counts = {r["__period"]: r["n"] for r in spread.groupBy("__period").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most PERIODS rows
+    passes: list[list[int]] = []
+    room = 0
+    for p in periods:
+        n = counts.get(p, 0)
+        if not n:
+            continue
+        if passes and n <= room:
+            passes[-1].append(p)
+            room -= n
+        else:
+            passes.append([p])
+            room = most - n
+    out = []
+    for some in passes:
+        mine = spread.where(F.col("__period").isin(some)).select("grp", "lo", "hi").distinct()
+        if sum(counts[p] for p in some) <= most:
+            mine = F.broadcast(mine)
+        rows = stored.where(F.col("period").isin(some))
+        out.append(rows.join(mine, "grp").where("bucket between lo and hi").select("k", "s", "t", "seq"))
+    return out
+
+
+def surplus_deliveries(
+    df: DataFrame, group: list[str], state: list[str], time: Column, order: str, bucket_width: int, chunk_width: int | None = None, most: int = MOST_BROADCAST,
+) -> DataFrame:
     """``order`` of every delivery that is not the kept copy of its message.
 
     Deliveries of one ``group`` are taken by ``time`` (a bigint); two are copies of one message if their ``state`` is
     equal and no delivery of the group with another state lies between them. The kept copy has the least ``order``
     (unique). Nulls in ``group`` and ``state`` equal each other; a null time counts as the earliest of all. Deliveries of
     one group, one time and different states are taken in the order of their states. An empty table gives none.
-    ``bucket_width``: width of a time bucket, in units of ``time``.
+    ``bucket_width``: width of a time bucket, in units of ``time``; ``chunk_width``: that of a chunk in which a group's deliveries
+    meet in one task, a bucket's by default. ``most``: how many candidate groups may be broadcast at once (each is three bigints).
 
     A group of copies may hold a third of all rows: equal (group, state, time) are pre-aggregated before any shuffle,
-    and runs are found within (group, time bucket) and joined across the buckets' edges by summaries. Groups and states are
+    and runs are found within (group, chunk) and joined across the chunks' edges by summaries. Groups and states are
     structs, which are never null and whose null fields equal each other.
     """
     box = Scratch(df.sparkSession, "repeats")
@@ -134,14 +191,26 @@ def surplus_deliveries(df: DataFrame, group: list[str], state: list[str], time:
         F.struct(*group).alias("k"), F.struct(*state, F.lit(0).alias("__none")).alias("s"),
         F.coalesce(time, F.lit(-(2**53))).alias("t"), F.col(order).alias("seq"),
     )
-    rows = rows.withColumn("grp", F.xxhash64("k")).withColumn("bucket", F.floor(F.col("t") / bucket_width).cast("long"))
-    repeats = possible_repeats(rows.select(F.xxhash64("grp", "s").alias("message"), "grp", "bucket"))
-    near = rows.join(repeats, "grp").where("bucket between lo and hi").select("k", "s", "t", "bucket", "seq")
+    rows = rows.withColumn("grp", F.xxhash64("k")).withColumn("message", F.xxhash64("grp", "s")).withColumn("bucket", F.floor(F.col("t") / bucket_width).cast("long"))
+    span = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    first = (span["lo"] or 0) // bucket_width
+    wide = max(1, -(-((span["hi"] or 0) // bucket_width - first + 1) // PERIODS))  # buckets in a period
+
+    def period(bucket: str) -> Column:
+        return F.greatest(F.floor((F.col(bucket) - first) / wide), F.lit(-1)).cast("int")  # -1: null times
+
+    stored, stored_at = box.stored(rows.withColumn("period", period("bucket")), "storage", ["period"])
+    repeats, repeats_at = box.stored(possible_repeats(stored, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-span["n"] // ROWS_PER_SHARD))), "repeats")
+    repeats = repeats.withColumns({"first": period("lo"), "last": period("hi")})
+    near = _matching(stored, repeats, list(range(-1, PERIODS + 1)), most)
+    near = reduce(DataFrame.unionByName, near) if near else stored.limit(0).select("k", "s", "t", "seq")
     near = box.table(near, "near")
-    points = near.groupBy("k", "bucket", "s", "t").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
-    points = chunked.around(points, ["k"], "bucket", ["t", "s"], F.col("s"), before="before")
+    box.drop(stored_at, repeats_at)
+    points = near.withColumn("chunk", F.floor(F.col("t") / (chunk_width or bucket_width)).cast("long"))
+    points = points.groupBy("k", "chunk", "s", "t").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    points = chunked.around(points, ["k"], "chunk", ["t", "s"], F.col("s"), before="before")
     begins = F.col("before").isNull() | (F.col("before") != F.col("s"))
-    points = chunked.running_max(points, ["k"], "bucket", ["t", "s"], F.when(begins, F.struct("t", "s")), "run")
+    points = chunked.running_max(points, ["k"], "chunk", ["t", "s"], F.when(begins, F.struct("t", "s")), "run")
     points = box.table(points.select("k", "s", "t", "run", "first", "n"), "points")
     runs = points.groupBy("k", "run").agg(F.min("first").alias("kept"), F.sum("n").alias("copies")).where("copies > 1")
     marked = points.join(runs, ["k", "run"])

@@ -9,7 +9,7 @@ from tidemark.operators import changes, dedupe, hierarchy, references, snapshots
 from tidemark.session import set_default
 
 BLOCKS = ("block_connected", "block_disconnected")
-DAY_MS, DAY_US, DAY_S = 86_400_000, 86_400_000_000, 86_400
+HOUR_MS, DAY_MS, DAY_US = 3_600_000, 86_400_000, 86_400_000_000
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -65,7 +65,7 @@ def messages(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ()) -> D
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     ctip = F.col("kind") == "ctip"  # its message is known by its time, a block's by its hash
     rows = messages(spark, folder).select("arrival_seq", "deploy_id", "slot", F.when(~ctip, F.unhex("token")).alias("block"), F.when(ctip, F.col("token")).alias("ctip"), (F.col("kind") == "block_connected").alias("connected"), "height", "time")
-    return dedupe.surplus_deliveries(rows, ["deploy_id", "slot", "block", "ctip"], ["connected", "height"], F.col("time"), "arrival_seq", DAY_MS)
+    return dedupe.surplus_deliveries(rows, ["deploy_id", "slot", "block", "ctip"], ["connected", "height"], F.col("time"), "arrival_seq", DAY_MS, HOUR_MS)
 
 
 # Problems 3 and 4

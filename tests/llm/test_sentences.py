@@ -2,9 +2,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.helpers import table
-from tidemark.llm import sentences
-from tidemark.llm.sentences import Evidence, Reader, sentence_units, verdict
+from tidemark.llm.queries import documents
+from tidemark.llm.sentences import IF_STARTER, LEAST_COUNT, LEAST_STARTS, NO, UNLESS_DIGITS, YES, Document, Evidence, Open, _settled, corpus_words, sentence_units, settle, units, verdict
 
 WORDS = {
     "Corp": (True, True, False), "Co": (True, True, False), "seq": (True, True, False), "v": (True, False, True), "v. H": (True, True, True), "Dr. H": (True, False, True), "Dr": (True, False, False), "No": (True, False, True),
@@ -14,8 +16,8 @@ STARTERS = {"The": 0.5, "Das": 0.5, "Der": 0.5, "No": 0.3, "KG": 0.0, "Senat": 0
 
 
 def cut(text: str) -> list[str]:
-    units = Reader(WORDS, STARTERS).units(text)
-    return [text[a:b] for a, b in zip(units[::2], units[1::2])]
+    found = units(text, WORDS, STARTERS)
+    return [text[a:b] for a, b in zip(found[::2], found[1::2])]
 
 
 @pytest.mark.parametrize(
@@ -66,20 +68,43 @@ def test_line_breaks():
 def test_every_visible_character_is_in_one_unit():
     rng = random.Random(3)
     letters = list("aB.!?…;:,“”„«»()[]\n \r\t'\"‘’。！「」『』ก ข1α;।é\xa0　\xad") + ["\n\n", "[…]", "â€œ", "�", "Corp. ", "12A-2/15"]
-    reader = Reader(WORDS, STARTERS)
     for _ in range(6000):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(40)))
-        units = reader.units(text)
-        pairs = list(zip(units[::2], units[1::2]))
+        found = units(text, WORDS, STARTERS)
+        pairs = list(zip(found[::2], found[1::2]))
         assert all(a < b for a, b in pairs) and all(b <= c for (_, b), (c, _) in zip(pairs, pairs[1:]))
         assert all(not text[a].isspace() and not text[b - 1].isspace() for a, b in pairs)
         covered = {i for a, b in pairs for i in range(a, b)}
         assert all(i in covered for i, c in enumerate(text) if not c.isspace())
 
 
-def test_document_decides_on_unknown_words():
+def test_document_decides_before_the_corpus():
     assert cut("See Zumb. Lo for it, and zumb. of old. The end.") == ["See Zumb.", "Lo for it, and zumb. of old.", "The end."]
     assert cut("By gloob. Ada it is, by gloob. in fact, by gloob. at last. The end.")[0].startswith("By gloob. Ada it is, by gloob. in")
+    text = "He met Zob. and left, with Zob. in fact, for Zob. Orrick came."
+    assert [text[a:b] for a, b in zip(*[iter(units(text, {"Zob": (False, True, False)}, {}))] * 2)] == [text]
+    text = "The lease was long. It was the longest lease. Nobody had signed the lease in time."
+    found = units(text, {"lease": (True, False, False)}, {})
+    assert [text[a:b] for a, b in zip(found[::2], found[1::2])] == ["The lease was long.", "It was the longest lease.", "Nobody had signed the lease in time."]
+
+
+def test_document_knows_what_begins_sentences():
+    text = "Lo it is.\n\nBy Zimtar Corp. Lo went on, by Zimtar Corp. Orrick did not."
+    assert cut(text) == ["Lo it is.", "By Zimtar Corp.", "Lo went on, by Zimtar Corp. Orrick did not."]
+
+
+def test_unended_paragraphs_of_any_length():
+    plain = "The appeal is allowed. The costs are reserved! Was it late? Nobody can say"
+    for tail in ("", " what would have come of it" * 10):
+        assert cut(plain + tail) == ["The appeal is allowed.", "The costs are reserved!", "Was it late?", f"Nobody can say{tail}"]
+    caption = "Ada Zimtar Corp. against Orrin & Co. KG, St. Orrick"
+    assert cut(caption) == [caption] and cut(f"{caption}, and others" * 9) == [f"{caption}, and others" * 9]
+
+
+def test_far_context():
+    far = " " * 200
+    assert cut(f"It is so.{far}The end.") == ["It is so.", "The end."] and cut(f"He said “No.”{far}and left.") == [f"He said “No.”{far}and left."]
+    assert cut(f"Τι σημαίνει {'1' * 90};{far}Τέλος.") == [f"Τι σημαίνει {'1' * 90};", "Τέλος."]
 
 
 def test_verdicts():
@@ -106,8 +131,47 @@ def test_operator(spark):
     assert sentence_units(df.limit(0), "doc_id", "text").collect() == []
 
 
-def test_bounded_table(spark, monkeypatch):
-    monkeypatch.setattr(sentences, "LEAST_SHARE", 0.1)
-    df = table(spark, "text string", [(" ".join(f"Word{i}. It" for i in range(100)) + ".",)] * 5)
-    words, _ = sentences.corpus_evidence(df, "text")
-    assert len(words) <= 10
+def corpus_of(texts):
+    seen = Evidence()
+    for t in texts:
+        if t:
+            seen.add(Document(t).evidence)
+    words = {w: verdict(*c, w[-2:-1] == " ") for w, c in seen.before.items() if sum(c) >= LEAST_COUNT}
+    both = {w: (seen.starts.get(w, 0), seen.follows.get(w, 0)) for w in seen.starts.keys() | seen.follows.keys()}
+    return {w: v for w, v in words.items() if v}, {w: a / (a + b) for w, (a, b) in both.items() if a + b >= LEAST_STARTS}
+
+
+def test_operator_equals_one_text_at_a_time(spark, data):
+    df = documents(spark, data).select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    words, starters = corpus_of(texts.values())
+    assert words and starters
+    expected = []
+    for i, t in texts.items():
+        found = units(t, words, starters) if t else []
+        expected += [(i, a, b) for a, b in zip(found[::2], found[1::2])]
+    assert sorted(map(tuple, sentence_units(df.repartition(3), "doc_id", "text").collect())) == sorted(expected)
+
+
+def test_corpus_as_columns(spark):
+    rng = random.Random(7)
+    counts = {w: [rng.choice([0, 0, 1, 5, 60, 300]) for _ in range(4)] for w in [f"w{i}" for i in range(300)] + [f"x y{i}" for i in range(9)] + [f"x {c}" for c in "abcdef"]}
+    rows = [(f"stop {w}", *c) for w, c in counts.items()] + [("start A b", 1, 9, 0, 0), ("start C", 1, 5, 0, 0)]
+    words, starters = corpus_words(table(spark, "counted string, n0 bigint, n1 bigint, n2 bigint, n3 bigint", rows))
+    expected = {w: verdict(*c, w[-2:-1] == " ") for w, c in counts.items() if sum(c) >= LEAST_COUNT}
+    assert {r[0]: tuple(r[1:]) for r in words.collect()} == {w: v for w, v in expected.items() if v}
+    assert [tuple(r) for r in starters.collect()] == [("A b", 0.1)]
+
+
+def test_settled_as_columns(spark):
+    rng = random.Random(8)
+    words = {"a": (True, False, False), "b": (True, True, True), "c": (False, True, False), "d": (True, True, False)}
+    opens = [
+        Open(rng.choice(["a", "b", "c", "d", "z", None]), rng.choice([None, True]), rng.randrange(3), then := rng.choice([NO, YES, UNLESS_DIGITS, IF_STARTER]), rng.choice(["S", "T", "U"]) if then == IF_STARTER else None, rng.random() < 0.5, rng.random() < 0.5)
+        for _ in range(400)
+    ]
+    starters = {"S": 0.5, "T": 0.0}
+    df = table(spark, "i int, word string, abbr boolean, form int, then int, starter string, starts boolean, negate boolean", [(i, *o) for i, o in enumerate(opens)])
+    df = df.join(table(spark, "c_word string, c_abbr boolean, c_may_end boolean, c_digits boolean", [(w, *v) for w, v in words.items()]), F.col("word") == F.col("c_word"), "left")
+    df = df.join(table(spark, "c_starter string, c_rate double", list(starters.items())), F.col("starter") == F.col("c_starter"), "left")
+    assert {r[0]: r[1] for r in df.select("i", _settled()).collect()} == {i: settle(o, words, starters) for i, o in enumerate(opens)}

@@ -3,33 +3,36 @@
 A text is cut into paragraphs, and a paragraph into sentences. Quotations and brackets are found first; nothing inside them
 ends a sentence. Outside, the terminators of the scripts (! ? and their kin, ideographic stops, dandas, the Greek question mark)
 end one; Thai ends one at a blank. Only the full stop is ambiguous, and is decided by document-centred disambiguation:
-what a word does where its reading is certain tells how to read it where it isn't.
+what a word does in the document where its reading is certain tells how to read it where it isn't.
 
-* A word before a stop that goes on in lower case, with a digit or a comma is an abbreviation there; at the end of a
-  paragraph its stop ends a sentence. Words that do the one and hardly ever the other are abbreviations, and the
-  rare ends tell which abbreviations can end a sentence ("Corp.") and which cannot ("Prof.").
-* A word that begins paragraphs, or follows ! or ?, begins sentences; one that is only seen after abbreviations is part of
-  a name ("KG", "Orrick") or of a date ("Okt.").
+* A word that goes on in lower case or with a comma after its stop, never stands without one and never ends a paragraph, is an abbreviation in
+  this document. A word that also stands without a stop, and never goes on so, is none.
+* A capitalized word after an abbreviation begins a sentence if the document begins a paragraph, or a sentence after ! or ?, with it, or has it in lower case.
 
-Evidence is counted in the document itself; where that is too little, counts over the whole corpus decide. A corpus count is kept for
-words with at least LEAST_SHARE of all observations of their kind, which bounds the table to 1 / LEAST_SHARE words a kind
-at every size of the corpus; it is small enough to go to every task.
+Where the document is silent, or contradicts itself, the corpus is asked: counts of how each word goes on where that is certain, over all documents. Words
+that do the one and hardly ever the other are abbreviations there, and the rare ends tell which abbreviations can end a
+sentence ("Corp.") and which cannot ("Prof."). Where the corpus knows too little as well, the form of the word decides.
+
+One pass over the texts yields three kinds of rows: units that are certain, pieces between boundaries that are open, and counts.
+Counts are summed by word; open boundaries are joined with them by word; the pieces of a run of open boundaries are put together.
+No table of words is collected, bounded or sent to tasks other than by Spark's own check of its size.
 """
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.encoding import small_batches
+from tidemark.sources.scratch import Scratch
 
-LEAST_SHARE = 1e-5
-LEAST_COUNT = 3
+LEAST_COUNT, LEAST_STARTS, LEAST_RATE = 3, 10, 0.1
 SURE = 60
 
 TERMINATORS = ".!?…。！？｡؟۔।॥"
@@ -37,7 +40,6 @@ STRONG = frozenset("!?。！？｡؟۔।॥")
 STRONG_BLANK = frozenset("!?؟")
 OPENERS = "([{（【《〈“„«‘‹「『\"'¿¡"
 CLOSERS = ")]}）】》〉”»’›」』\"'“‘"
-STRONG_OR_CLOSER = frozenset(CLOSERS) | STRONG_BLANK
 THAI = r"ก-ฺเ-๎"
 
 #: quotations by their opener, each up to its closer; the replacement character and mojibake may stand for a damaged mark
@@ -75,8 +77,12 @@ CONTINUES = frozenset(",;:–—-·؛،、，；：%)]}»”")
 NEVER_STARTS = frozenset(",;:!?)]}»”–—")
 AFTER_WORD = ",;:!?" + CLOSERS
 BLANKS_AND_CLOSERS = CLOSERS + " \t\r\n\xa0\u202f\u3000"
-HEADING_LENGTH = 160
-HEAD_PARAGRAPHS = 4
+BLANKS = re.compile(r"\s*")
+#: ! or ? and what stands after it; a sentence follows there unless that goes on
+LOUD = re.compile(r"[!?؟！？。｡।॥][" + re.escape(CLOSERS) + r"]*\s*(?=(\S))")
+#: a word that ends a sentence and no abbreviation: lower case throughout, and not short
+PLAIN_END = re.compile(r"(?:^|[\s\-–—'’])([^\W\d_A-Z]{4,})[.!?…。।]$")
+READ = frozenset(".,;:" + "".join(CLOSERS) + "!?؟")
 
 
 def paragraphs(text: str) -> list[tuple[int, int]]:
@@ -104,21 +110,36 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
 
 
 def head_length(text: str, parts: list[tuple[int, int]]) -> int:
-    """How many first paragraphs are lines of the head (court, caption, docket): up to the first docket line."""
-    for i, (a, b) in enumerate(parts[:HEAD_PARAGRAPHS]):
-        if b - a < HEADING_LENGTH and DOCKET.search(text, a, b):
-            return i + 1
+    """How many first paragraphs are lines of the head (court, caption, docket): up to the first line that is a docket line, if none before it is a sentence."""
+    found = DOCKET.search(text)
+    if not found:
+        return 0
+    for i, (a, b) in enumerate(parts):
+        if a <= found.start() < b:
+            return i + 1 if is_line(text[a:b]) else 0
+        if is_sentence(text[a:b]):
+            return 0
     return 0
 
 
+def is_sentence(p: str) -> bool:
+    """Whether a paragraph plainly ends as a sentence does."""
+    last = p.rstrip(BLANKS_AND_CLOSERS)
+    word = last[last.rfind(" ") + 1 :]
+    return PLAIN_END.search(word) is not None and word[:1].islower() or last[-1:] in STRONG
+
+
 def is_line(p: str) -> bool:
-    """Whether a paragraph is a line of its own (heading, page header, signature): short, and nothing ends it."""
-    if len(p) >= HEADING_LENGTH:
-        return False
+    """Whether a paragraph may be a line of its own (heading, page header, signature): nothing ends it."""
     end = p.rstrip(BLANKS_AND_CLOSERS)[-1:]
     return not end or end not in TERMINATORS and end not in GREEK_QUESTIONS or p[-1] == "]" and PLACEHOLDER.search(p[-8:]) is not None
 
 
+def is_loud(p: str) -> bool:
+    """Whether some ! or ? (or a stop of a script that has no other use for it) inside a paragraph plainly ends a sentence."""
+    return any(m[1] not in CONTINUES and not m[1].islower() for m in LOUD.finditer(p))
+
+
 def is_thai(text: str) -> bool:
     """Whether there is any Thai letter in the text."""
     if text.isascii():
@@ -127,16 +148,6 @@ def is_thai(text: str) -> bool:
     return THAI_BYTES[0] in raw or THAI_BYTES[1] in raw
 
 
-def sentence_paragraphs(text: str) -> Iterator[str]:
-    """The paragraphs of a text that hold sentences; none in Thai, where the full stop ends nothing."""
-    if text:
-        parts, thai = paragraphs(text), is_thai(text)
-        for a, b in parts[head_length(text, parts) :]:
-            p = text[a:b]
-            if not is_line(p) and not (thai and is_thai(p)):
-                yield p
-
-
 def _clean(word: str) -> str:
     return word if word.isascii() else HIDDEN.sub("", word)
 
@@ -165,8 +176,9 @@ class Evidence:
 
     def __init__(self) -> None:
         self.before: dict[str, list[int]] = {}
-        self.starts: Counter = Counter()
-        self.follows: Counter = Counter()
+        self.starts: dict[str, int] = {}
+        self.follows: dict[str, int] = {}
+        self.plain: set[str] = set()
 
     def read(self, p: str) -> None:
         """Count the words of one paragraph of sentences."""
@@ -174,21 +186,42 @@ class Evidence:
         tokens = p[number.end() :].split() if number else p.split()
         if not tokens:
             return
-        self.starts[_bare(tokens[0])] += 1
+        self.plain.update(tokens)
+        starts = self.starts
+        first = _bare(tokens[0])
+        starts[first] = starts.get(first, 0) + 1
+        hits = [i for i, t in enumerate(tokens) if t[-1] in READ]
         tokens.append("")
-        for i, token in enumerate(tokens):
-            last = token[-1:]
+        for i in hits:
+            token = tokens[i]
+            last = token[-1]
             if last == ".":
                 self._stop(token[:-1] if len(token) != 2 or not i else pair(tokens[i - 1], token[:1]), tokens[i + 1])
-            elif last in STRONG_OR_CLOSER and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK and tokens[i + 1]:
-                self.starts[_bare(tokens[i + 1])] += 1
-            elif last in ",;:" and token[-2:-1] == ".":
-                self._stop(token[:-2] if len(token) != 3 or not i else pair(tokens[i - 1], token[:1]), ",")
+            elif last in ",;:":
+                if token[-2:-1] == ".":
+                    self._stop(token[:-2] if len(token) != 3 or not i else pair(tokens[i - 1], token[:1]), ",")
+            elif tokens[i + 1] and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK:
+                first = _bare(tokens[i + 1])
+                starts[first] = starts.get(first, 0) + 1
+
+    def add(self, other: "Evidence") -> None:
+        """Add the counts of a document to those of many."""
+        for word, counts in other.before.items():
+            mine = self.before.get(word)
+            if mine is None:
+                self.before[word] = counts
+            else:
+                for i in range(4):
+                    mine[i] += counts[i]
+        for mine, more in ((self.starts, other.starts), (self.follows, other.follows)):
+            for word, n in more.items():
+                mine[word] = mine.get(word, 0) + n
 
     def _stop(self, word: str, after: str) -> None:
         first = after[:1]
         if first and not first.islower() and not first.isdigit() and first != ",":
-            self.follows[_bare(after)] += 1
+            name = _bare(after)
+            self.follows[name] = self.follows.get(name, 0) + 1
         word = _clean(word.lstrip(OPENERS))
         if not word or not word[-1].isalpha():
             return  # numbers, closers and redactions are judged by what follows
@@ -207,10 +240,6 @@ class Evidence:
         return cls.LOWER if first == "," else cls.DIGIT if first.isdigit() else cls.OTHER
 
 
-#: (is an abbreviation, may end a sentence, goes on with a digit)
-NORMAL, ABBREVIATION = (False, True, False), (True, False, False)
-DAMAGED = (True, True, True)  # only what follows can tell
-
 
 def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool] | None:
     """What counts of a word before a stop say about it; None if they are too few to tell a name from an abbreviation.
@@ -224,85 +253,149 @@ def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False)
     if not inside and total < SURE:
         return None
     if end and inside <= 0.1 * total and end >= 0.08 * total:
-        return NORMAL
+        return FORMS[0]
     if end < 0.004 * total or not end:
         return (True, False, digit > 0.1 * total)
     return (True, True, digit > 0.1 * total)
 
 
-class Reader:
-    """Cuts texts, with the corpus's verdicts on words before stops and rates at which words begin sentences."""
+class Open(NamedTuple):
+    """A boundary that only the corpus can decide; ``settle`` tells how.
+
+    ``word``: the word before the stop, null if no word is asked about. ``abbr``: what the document, or the form of a single letter or number, says about it:
+    whether it is an abbreviation; null: silent. ``form``: what its form or weak evidence in the document says, 0 a plain word, 1 an abbreviation, 2 damaged.
+    ``then``: whether a sentence ends there if it is an abbreviation that can end one: 0 no, 1 yes, 2 unless it goes on with digits, 3 if
+    ``starter`` begins sentences (``starts``: if the corpus doesn't know). ``negate``: the boundary is there if that one is not.
+    """
 
-    def __init__(self, words: dict[str, tuple[bool, bool, bool]], starters: dict[str, float]):
-        self.words, self.starters = words, starters
+    word: str | None
+    abbr: bool | None
+    form: int
+    then: int
+    starter: str | None
+    starts: bool
+    negate: bool = False
+
+
+NO, YES, UNLESS_DIGITS, IF_STARTER = range(4)
+#: (is an abbreviation, may end a sentence, goes on with a digit) by form
+FORMS = ((False, True, False), (True, False, False), (True, True, True))
+
+
+def settle(o: Open, words: dict[str, tuple[bool, bool, bool]], starters: dict[str, float]) -> bool:
+    """Whether an open boundary is one, by the corpus's verdicts on words and the rates of starters. ``_settled`` is the same as columns."""
+    known = words.get(o.word)
+    abbreviation, may_end, digits = known or FORMS[o.form]
+    if o.abbr and not abbreviation:
+        may_end = False
+    if not (abbreviation if o.abbr is None else o.abbr):
+        ends = True
+    elif not may_end or o.then == NO:
+        ends = False
+    elif o.then == UNLESS_DIGITS:
+        ends = not digits
+    else:
+        ends = o.then == YES or (starters[o.starter] >= LEAST_RATE if o.starter in starters else o.starts)
+    return ends != o.negate
+
+
+class Document:
+    """The paragraphs of one text, the evidence in it, and its units as far as it can tell.
+
+    ``solid``: start, end, start, end, ... of certain units. ``runs``: lists of pieces (start, end, Open before it, None for the first), of which
+    neighbours are one unit if the boundary between them turns out to be none.
+    """
 
-    def units(self, text: str) -> list[int]:
-        """Start, end, start, end, ... of the units of a text."""
-        out: list[int] = []
+    def __init__(self, text: str):
+        self.text, self.solid, self.runs = text, [], []
+        self.evidence = Evidence()
         parts = paragraphs(text)
         head = head_length(text, parts)
         thai = is_thai(text)
-        doc = _Document(text, parts, head)
+        todo = []
         for i, (a, b) in enumerate(parts):
             p = text[a:b]
             here = thai and is_thai(p)
-            if i < head or is_line(p) and (not here or DOCKET.search(p)):
-                out += (a, b)
-            else:
-                self._cut(p, a, out, doc, here)
-        return out
-
-    def _cut(self, p: str, base: int, out: list[int], doc: "_Document", thai: bool) -> None:
+            line = is_line(p) and (not here or DOCKET.search(p) is not None)
+            if i < head or line and not STOPS.search(p):
+                self.solid += (a, b)
+                continue
+            strict = line and not is_loud(p)
+            if not strict and not here:
+                self.evidence.read(p)
+            todo.append((p, a, here, strict))
+        for item in todo:
+            self._cut(*item)
+
+    def _cut(self, p: str, base: int, thai: bool, strict: bool) -> None:
         number = NUMBER.match(p)
         start, size = 0, len(p)
         fresh = free = number.end() if number else 0  # where the text of the present sentence begins, and what is not yet read
+        earlier = 0  # where it begins if the open boundary before it is none
+        gate: Open | None = None
+        pieces: list[tuple[int, int, Open | None]] = []
         for m in (THAI_MARKS if thai else MARKS).finditer(p, fresh):
             s = m.start()
             if s < free:
                 continue
             c = p[s]
-            end = 0
-            if c == ".":
-                e = s + 1
-                after = p[e : e + 1]
-                if after.isdigit() or after.islower():
-                    continue
-                if after in TERMINATORS and after:
-                    e = STOPS.match(p, s).end()
-                free = closed = self._closers(p, e)
-                if closed < size and self._ends(p, s, e, closed, doc):
-                    end = closed
-            elif c in QUOTES:
+            end, ends = 0, False
+            if c in QUOTES:
                 span = QUOTES[c].match(p, s)
                 if span:
-                    free = span.end()
-                    if free < size and self._quote_ends(p, fresh, s, free, thai):
-                        end = free
+                    end = free = span.end()
+                    ends = free < size and not strict and self._either(gate if s == fresh else None, *[self._quote_ends(p, f, s, free, thai) for f in (fresh, earlier)])
             elif c in BRACKETS:
                 span = BRACKETS[c].match(p, s)
                 if span:
-                    free = span.end()
-                    if free < size and s == fresh and p[free - 2] in TERMINATORS and not PLACEHOLDER.fullmatch(p, s, free) and not self._goes_on(p, free):
-                        end = free
+                    end = free = span.end()
+                    if free < size and s == fresh and not strict and p[free - 2] in TERMINATORS and not PLACEHOLDER.fullmatch(p, s, free) and not self._goes_on(p, free):
+                        ends = self._either(gate, True, False)
             elif c.isspace():
-                end, free = s, m.end()
+                end, free, ends = s, m.end(), True
             elif c in GREEK_QUESTIONS:
                 free = s + 1
-                if free < size and GREEK.search(p, max(0, s - 40), s):
+                if free < size and not strict and GREEK.search(p, fresh, s):
                     free = end = self._closers(p, free)
+                    ends = True
+            else:
+                e = s + 1
+                if c == ".":
+                    after = p[e : e + 1]
+                    if after.isdigit() or after.islower():
+                        continue
+                    if after in TERMINATORS and after:
+                        e = STOPS.match(p, s).end()
+                else:
+                    e = STOPS.match(p, s).end()
+                end = free = closed = self._closers(p, e)
+                ends = closed < size and self._ends(p, s, e, closed, strict)
+            if ends is False:
+                continue
+            while free < size and p[free].isspace():
+                free += 1
+            if free >= size:
+                break
+            pieces.append((base + start, base + end, gate))
+            if ends is True:
+                self._close(pieces)
+                pieces, gate = [], None
             else:
-                e = STOPS.match(p, s).end()
-                free = closed = self._closers(p, e)
-                if closed < size and self._ends(p, s, e, closed, doc):
-                    end = closed
-            if end:
-                while free < size and p[free].isspace():
-                    free += 1
-                if free >= size:
-                    break
-                out += (base + start, base + end)
-                start = fresh = free
-        out += (base + start, base + size)
+                gate, earlier = ends, fresh
+            start = fresh = free
+        pieces.append((base + start, base + size, gate))
+        self._close(pieces)
+
+    def _close(self, pieces: list[tuple[int, int, Open | None]]) -> None:
+        if len(pieces) == 1:
+            self.solid += pieces[0][:2]
+        else:
+            self.runs.append(pieces)
+
+    @staticmethod
+    def _either(gate: Open | None, if_cut: bool, if_not: bool) -> bool | Open:
+        """A boundary that may depend on the open one just before it."""
+        return if_cut if gate is None or if_cut == if_not else gate if if_cut else gate._replace(negate=not gate.negate)
 
     @staticmethod
     def _closers(p: str, e: int) -> int:
@@ -315,16 +408,17 @@ class Reader:
     @staticmethod
     def _goes_on(p: str, e: int) -> bool:
         """Whether what follows position e plainly continues the sentence."""
-        after = p[e : e + 40].lstrip()[:24]
-        first = after[:1]
-        return first in CONTINUES or first in TERMINATORS or (first.islower() and not LOWER_START.match(after))
+        e = BLANKS.match(p, e).end()
+        first = p[e : e + 1]
+        return first in CONTINUES or first in TERMINATORS or (first.islower() and not LOWER_START.match(p, e))
 
     def _quote_ends(self, p: str, fresh: int, s: int, e: int, thai: bool) -> bool:
-        """Whether the sentence ends with the quotation p[s:e]."""
+        """Whether the sentence that begins at ``fresh`` ends with the quotation p[s:e]."""
         inner = p[s + 1 : e - 1].rstrip("â€ ")
         if inner[-1:] not in TERMINATORS or thai or self._goes_on(p, e):
             return False
-        after = p[e : e + 40].lstrip()[:1]
+        at = BLANKS.match(p, e).end()
+        after = p[at : at + 1]
         lead = p[fresh:s].rstrip()
         if after.isupper() or not after.isalpha():
             # a quotation may follow a quotation; in scripts with case one that opens a sentence ends it before a capital
@@ -333,20 +427,21 @@ class Reader:
             return False
         return lead[-1:] in ":：,，،、" and bool(lead)
 
-    def _ends(self, p: str, s: int, e: int, closed: int, doc: "_Document") -> bool:
+    def _ends(self, p: str, s: int, e: int, closed: int, strict: bool) -> bool | Open:
         """Whether the stop p[s:e], with the closers up to ``closed``, ends a sentence."""
         after = p[closed]
         single = e == s + 1
         if not (single and p[s] == "."):
             stop = p[s:e]
             if STRONG.intersection(stop):
-                return after not in CONTINUES
+                return not strict and after not in CONTINUES
             if not single or stop == "…":
-                nxt = p[closed : closed + 40].lstrip()[:1]
-                return nxt.isupper() or nxt in "¿¡" and bool(nxt)
+                at = BLANKS.match(p, closed).end()
+                nxt = p[at : at + 1]
+                return not strict and (nxt.isupper() or nxt in "¿¡" and bool(nxt))
         at = p.rfind(" ", 0, s) + 1
         word = p[at:s]
-        if "\n" in word or not word.isascii():
+        if not word.isalnum() or not word.isascii():
             word = _clean((word.split() or [""])[-1]) if not p[s - 1].isspace() else ""
         word = word.lstrip(OPENERS)
         blank = p.find(" ", closed + 1)
@@ -368,39 +463,87 @@ class Reader:
                 return False
         nxt = "“" if token.startswith("â€œ") else token[:1]
         before = p[s - 1 : s]
-        if before > "\u08ff" and ("\u0900" <= before <= "\u097f" or "\u0e00" <= before <= "\u0e7f" or CJK.match(before)):
+        if before > "ࣿ" and ("ऀ" <= before <= "ॿ" or "฀" <= before <= "๿" or CJK.match(before)):
             return False
         if len(word) == 1 and word.isalpha():
-            word = pair((p[max(0, at - 40) : at].split() or [""])[-1], word) if "\n" not in p[at:s] else pair((p[max(0, s - 40) : s - 1].split() or [""])[-1], word)
-        return self._stop_ends(p, closed, word, token, nxt, doc)
+            word = pair(self._word_before(p, at if "\n" not in p[at:s] else s - 1), word)
+        return self._stop_ends(p, closed, word, token, nxt, strict)
 
-    def _stop_ends(self, p: str, closed: int, word: str, token: str, nxt: str, doc: "_Document") -> bool:
+    @staticmethod
+    def _word_before(p: str, at: int) -> str:
+        """The last word that ends before position ``at``."""
+        while at and p[at - 1].isspace():
+            at -= 1
+        end = at
+        while at and not p[at - 1].isspace():
+            at -= 1
+        return p[at:end]
+
+    def _stop_ends(self, p: str, closed: int, word: str, token: str, nxt: str, strict: bool) -> bool | Open:
         lower = nxt.islower()
-        odd = lower and LOWER_START.match(token) is not None
-        last = word[-1:]
-        if nxt in NEVER_STARTS:
+        if nxt in NEVER_STARTS or lower and not LOWER_START.match(token):
             return False
-        if last.isdigit() and ANY_NUMBER.fullmatch(word):
-            if not PLAIN_NUMBER.fullmatch(word):
-                return not lower or odd
-            return not nxt.isdigit() and not lower and (nxt == "§" or self._rate(_bare(token), doc) >= 0.1)
+        if strict:  # in what may be a line of its own, only after a word that is not short and in lower case
+            if len(word) < 4 or not word.isalpha() or not word[:1].islower() or not nxt.isupper():
+                return False
+            abbr = self._is_abbreviation(word)
+            return not abbr if abbr is not None else Open(word, None, self._form(word), NO, None, False)
+        last = word[-1:]
         if not last.isalpha():
-            return not lower or odd
-        known = self.words.get(word)
-        abbreviation, may_end, digits = known or self._verdict(word, doc)
-        if not abbreviation:
-            return not lower or odd or known is not None
-        if not may_end:
-            return False
-        if lower:
-            return odd
-        if nxt.isdigit():
-            return not digits
-        if nxt in "([（":
-            return self._is_sentence(p, p.find(nxt, closed))
-        if nxt in OPENERS:
+            if not last.isdigit() or not PLAIN_NUMBER.fullmatch(word):
+                return True
+            if lower or nxt.isdigit():
+                return False
+            word, abbr, form = None, True, 2
+            then = YES if nxt == "§" else IF_STARTER
+        else:
+            initial = word[-2:-1] == " "
+            abbr = True if initial else self._is_abbreviation(word)
+            if abbr is False:
+                return True
+            form = self._form(word)
+            if lower:
+                then = YES
+            elif nxt.isdigit():
+                then = UNLESS_DIGITS
+            elif nxt in "([（":
+                then = YES if self._is_sentence(p, p.find(nxt, closed)) else NO
+            else:
+                then = YES if nxt in OPENERS else IF_STARTER
+        starter, starts = None, False
+        if then == IF_STARTER:
+            starter = _bare(token)
+            known = self._begins(starter)
+            if known:
+                then, starter = YES, None
+            else:
+                starts = self.evidence.follows.get(starter, 0) <= 1
+        if word is None and then == YES:
             return True
-        return self._rate(_bare(token), doc) >= 0.1
+        return False if abbr and then == NO else Open(word, abbr, form, then, starter, starts)
+
+    def _begins(self, word: str) -> bool:
+        """Whether the document shows that a capitalized word begins sentences."""
+        if word in self.evidence.starts:
+            return True
+        small = word.lower()
+        return small != word and small in self.evidence.plain
+
+    def _is_abbreviation(self, word: str) -> bool | None:
+        """What the document shows about a word before a stop; None if nothing, or both."""
+        counts = self.evidence.before.get(word)
+        if word in self.evidence.plain:
+            return None if counts and (counts[0] or counts[1]) else False
+        return True if counts and counts[0] and not counts[3] else None
+
+    def _form(self, word: str) -> int:
+        """What the uncertain occurrences in the document (before digits), or else the form of a word, say where the corpus knows too little."""
+        counts = self.evidence.before.get(word)
+        if counts and counts[0] + counts[1] and not counts[3] and counts[0] + counts[1] >= counts[2]:
+            return 1
+        if "�" in word or "Ã" in word:
+            return 2
+        return int(word[-2:-1] == " " or "." in word and word.replace(".", "").isalpha())
 
     @staticmethod
     def _is_sentence(p: str, s: int) -> bool:
@@ -408,109 +551,122 @@ class Reader:
         m = BRACKETS[p[s]].match(p, s)
         return m is not None and m[0][-2] in TERMINATORS and m[0][1:2].isupper() and m[0].count(" ") > 3
 
-    @staticmethod
-    def _verdict(word: str, doc: "_Document") -> tuple[bool, bool, bool]:
-        """On a word of which the corpus knows too little: by the document, then by its form."""
-        lower, digit, other, end = doc.before(word)
-        if lower + digit and not end and lower + digit >= other:
-            return ABBREVIATION
-        if "�" in word or "Ã" in word:
-            return DAMAGED
-        if word[-2:-1] == " " or "." in word and word.replace(".", "").isalpha():
-            return ABBREVIATION
-        return NORMAL
-
-    def _rate(self, word: str, doc: "_Document") -> float:
-        """At which rate a capitalized word seen after stops is seen to begin sentences where that is certain."""
-        known = self.starters.get(word)
-        return doc.rate(word) if known is None else known
-
-
-class _Document:
-    """The evidence of one document, on words the corpus knows too little of, counted when asked for."""
-
-    def __init__(self, text: str, parts: list[tuple[int, int]], head: int):
-        self.text, self.parts, self.head = text, parts, head
-        self.known: dict[str, tuple[int, int, int, int]] = {}
-        self.counted: Evidence | None = None
-
-    def before(self, word: str) -> tuple[int, int, int, int]:
-        """How the word goes on before a stop anywhere in the document."""
-        found = self.known.get(word)
-        if found is None:
-            counts, at, text, needle = [0, 0, 0, 0], 0, self.text, word + "."
-            while (at := text.find(needle, at)) >= 0:
-                end = at + len(needle)
-                if not text[at - 1 : at].isalpha() and not text[end : end + 1].isalnum():
-                    after = text[end : end + 40]
-                    token = "," if after[:1] in ",;:" and after else "" if after.lstrip(" ")[:2] in ("\n\n", "\r\n", "") else (after.split() or [""])[0]
-                    counts[Evidence.kind(token)] += 1
-                at = end
-            found = self.known[word] = tuple(counts)
-        return found
-
-    def rate(self, word: str) -> float:
-        if self.counted is None:
-            self.counted = Evidence()
-            for a, b in self.parts[self.head :]:
-                p = self.text[a:b]
-                if not is_line(p):
-                    self.counted.read(p)
-        return 1.0 if self.counted.starts[word] or self.counted.follows[word] <= 1 else 0.0
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Evidence of one task: (kind, word, a, b, c, d)."""
-    seen = Evidence()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            for p in sentence_paragraphs(text):
-                seen.read(p)
-    rows = [("stop", w, *c) for w, c in seen.before.items()]
-    rows += [("start", w, seen.starts[w], seen.follows[w], 0, 0) for w in seen.starts.keys() | seen.follows.keys()]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["kind", "word", "a", "b", "c", "d"])
-
-
-def corpus_evidence(docs: DataFrame, text: str) -> tuple[dict[str, tuple[bool, bool, bool]], dict[str, float]]:
-    """Verdicts on words before stops, and the rate at which words begin sentences, over all texts."""
-    counts = docs.select(text).mapInArrow(_count, "kind string, word string, a bigint, b bigint, c bigint, d bigint")
-    sums = counts.groupBy("kind", "word").agg(*[F.sum(c).alias(c) for c in "abcd"]).withColumn("n", F.expr("a + b + c + d"))
-    sums = sums.where(f"n >= {LEAST_COUNT}").persist()
-    least = {r["kind"]: r["n"] * LEAST_SHARE for r in sums.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    keep = F.lit(False)
-    for kind, n in least.items():
-        keep = keep | ((F.col("kind") == kind) & (F.col("n") >= n))
-    rows = sums.where(keep).collect()  # at most 1 / LEAST_SHARE words of each kind
-    sums.unpersist()
-    told = {r["word"]: verdict(r["a"], r["b"], r["c"], r["d"], r["word"][-2:-1] == " ") for r in rows if r["kind"] == "stop"}
-    words = {w: v for w, v in told.items() if v}
-    starters = {r["word"]: r["a"] / r["n"] for r in rows if r["kind"] == "start" and r["n"] >= 10}
+
+def units(text: str, words: dict[str, tuple[bool, bool, bool]], starters: dict[str, float]) -> list[int]:
+    """Start, end, start, end, ... of the units of one text, with a given corpus."""
+    doc = Document(text)
+    out = list(zip(doc.solid[::2], doc.solid[1::2]))
+    for run in doc.runs:
+        for a, b, gate in run:
+            if gate is None or settle(gate, words, starters):
+                out.append((a, b))
+            else:
+                out[-1] = (out[-1][0], b)
+    return [x for unit in sorted(out) for x in unit]
+
+
+OPEN = "word string, abbr boolean, form int, then int, starter string, starts boolean, negate boolean"
+COUNTS = ["n0", "n1", "n2", "n3"]
+
+
+def _column(values: list, kind: pa.DataType, before: int, after: int) -> pa.Array:
+    """Values between so many nulls."""
+    return pa.concat_arrays([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
+
+
+def _read(ident: T.StructField):
+    """(ident, text) batches -> rows of the three kinds: units, pieces of open runs, counts of words."""
+    names = ["kind", ident.name, "start", "end", "run", "at", *Open._fields, *COUNTS, "counted"]
+    types = [pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        number = (context.partitionId() if context else 0) << 40
+        for batch in batches:
+            seen = Evidence()
+            solid, owners, pieces, piece_owners = [], [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                if not text:
+                    continue
+                doc = Document(text)
+                solid += doc.solid
+                owners.append((row, len(doc.solid) // 2))
+                for r in doc.runs:
+                    number += 1
+                    pieces += [(a, b, number, i, *(gate or (None,) * 7)) for i, (a, b, gate) in enumerate(r)]
+                    piece_owners.append((row, len(r)))
+                seen.add(doc.evidence)
+            counts = [("stop", w, *c) for w, c in seen.before.items()]
+            counts += [("start", w, seen.starts.get(w, 0), seen.follows.get(w, 0), 0, 0) for w in seen.starts.keys() | seen.follows.keys()]
+            u, o, c = len(solid) // 2, len(pieces), len(counts)
+            rows = np.repeat(*np.array(owners + piece_owners, np.int64).reshape(-1, 2).T)
+            ids = pa.concat_arrays([batch.column(0).take(pa.array(rows)), pa.nulls(c, batch.schema.field(0).type)])
+            at, p, n = np.array(solid, np.int64), list(zip(*pieces)) or [()] * 11, list(zip(*counts)) or [()] * 6
+            ends = [pa.concat_arrays([pa.array(at[i::2]), pa.array(p[i], pa.int64()), pa.nulls(c, pa.int64())]) for i in (0, 1)]
+            kinds = pa.array(["unit"] * u + ["piece"] * o + ["count"] * c, pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    kinds, ids, *ends, _column(p[2], pa.int64(), u, c), _column(p[3], pa.int32(), u, c), *[_column(p[4 + i], t, u, c) for i, t in enumerate(types)],
+                    *[_column(n[2 + i], pa.int64(), u + o, 0) for i in range(4)], _column([f"{k} {w}" for k, w in zip(n[0], n[1])], pa.string(), u + o, 0),
+                ],
+                names,
+            )
+
+    return run
+
+
+def corpus_words(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verdicts on words before stops (c_word, c_abbr, c_may_end, c_digits), and rates of words that begin sentences (c_starter, c_rate), of (counted, n0, n1, n2, n3).
+
+    A word needs LEAST_COUNT certain or uncertain occurrences before stops, a starter LEAST_STARTS. ``verdict`` is the same for one word.
+    """
+    sums = counts.groupBy("counted").agg(*[F.sum(c).alias(c) for c in COUNTS]).withColumn("n", F.expr("n0 + n1 + n2 + n3")).where(F.col("n") >= LEAST_COUNT)
+    kind, word = F.substring_index("counted", " ", 1), F.expr("substring(counted, instr(counted, ' ') + 1)")
+    lower, digit, end, total = (F.col(c) for c in ("n0", "n1", "n3", "n"))
+    inside = lower + digit
+    initial = F.substring(F.reverse("c_word"), 2, 1) == " "
+    abbr = initial | ~((end > 0) & (inside <= 0.1 * total) & (end >= 0.08 * total))
+    stops = sums.where(kind == "stop").select(word.alias("c_word"), *COUNTS, "n").where(initial | (inside > 0) | (total >= SURE))
+    may_end = F.when(initial, end > 0.01 * total).when(~abbr, True).otherwise((end >= 0.004 * total) & (end > 0))
+    words = stops.select("c_word", abbr.alias("c_abbr"), may_end.alias("c_may_end"), (abbr & (digit > 0.1 * total)).alias("c_digits"))
+    starters = sums.where(kind == "start").where(total >= LEAST_STARTS).select(word.alias("c_starter"), (F.col("n0") / total).alias("c_rate"))
     return words, starters
 
 
+def _settled() -> Column:
+    """``settle`` on columns of a piece joined with the corpus's words and starters."""
+    known = F.col("c_word").isNotNull()
+    by_corpus = F.when(known, F.col("c_abbr")).otherwise(F.col("form") > 0)
+    trusted = F.coalesce(F.col("abbr") & ~by_corpus, F.lit(False))
+    may_end = F.when(trusted, False).when(known, F.col("c_may_end")).otherwise(F.col("form") != 1)
+    digits = F.when(known, F.col("c_digits")).otherwise(F.col("form") == 2)
+    starts = F.coalesce(F.col("c_rate") >= LEAST_RATE, F.col("starts"))
+    ends = (
+        F.when(~F.coalesce("abbr", by_corpus), True).when(~may_end | (F.col("then") == NO), False)
+        .when(F.col("then") == UNLESS_DIGITS, ~digits).otherwise((F.col("then") == YES) | starts)
+    )
+    return ends != F.col("negate")
+
+
 def sentence_units(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """(ident, start_char, end_char): the sentence units of each text, as offsets in code points from 0.
 
-    A unit reaches from its first non-blank character to just after its last. Null, empty and blank texts have none. Two passes
-    over the texts and no shuffle of them: only word counts are.
+    A unit reaches from its first non-blank character to just after its last. Null, empty and blank texts have none. One pass
+    over the texts and no shuffle of them: only word counts and pieces at open boundaries are.
     """
-    small_batches(docs.sparkSession)
-    words, starters = corpus_evidence(docs, text)
-    shared = docs.sparkSession.sparkContext.broadcast((words, starters))
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(ident, text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
-        for batch in batches:
-            offsets, counts = [], []
-            for t in batch.column(1).to_pylist():
-                units = reader.units(t) if t else []
-                offsets += units
-                counts.append(len(units) // 2)
-            at = np.array(offsets, np.int64)
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(at[::2]), pa.array(at[1::2])], [ident, "start_char", "end_char"])
-
-    fields = [rows.schema[ident], T.StructField("start_char", T.LongType()), T.StructField("end_char", T.LongType())]
-    return rows.mapInArrow(run, T.StructType(fields))
+    field = rows.schema[ident]
+    places = T.StructType.fromDDL(f"start bigint, end bigint, run bigint, at int, {OPEN}, {', '.join(f'{c} bigint' for c in COUNTS)}, counted string")
+    box = Scratch(spark, "sentences")
+    read = box.table(rows.mapInArrow(_read(field), T.StructType([T.StructField("kind", T.StringType()), field, *places.fields])), "read", ["kind"])
+    words, starters = (box.table(t, n) for t, n in zip(corpus_words(read.where("kind = 'count'")), ("words", "starters")))
+    pieces = read.where("kind = 'piece'").select(ident, "start", "end", "run", "at", *Open._fields)
+    pieces = pieces.join(words, F.col("word") == F.col("c_word"), "left").join(starters, F.col("starter") == F.col("c_starter"), "left")
+    cut = F.when(F.col("at") == 0, 1).otherwise(_settled().cast("int"))
+    in_run = Window.partitionBy("run").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = pieces.select(ident, "run", "at", "start", "end", cut.alias("cut")).withColumn("unit", F.sum("cut").over(in_run))
+    joined = placed.groupBy("run", "unit").agg(F.first(ident).alias(ident), F.min("start").alias("start_char"), F.max("end").alias("end_char"))
+    units = read.where("kind = 'unit'").select(ident, F.col("start").alias("start_char"), F.col("end").alias("end_char"))
+    return units.unionByName(joined.select(ident, "start_char", "end_char"))

@@ -13,21 +13,24 @@ Where the document is silent, or contradicts itself, the corpus is asked: counts
 that do the one and hardly ever the other are abbreviations there, and the rare ends tell which abbreviations can end a
 sentence ("Corp.") and which cannot ("Prof."). Where the corpus knows too little as well, the form of the word decides.
 
-One pass over the texts yields three kinds of rows: units that are certain, pieces between boundaries that are open, and counts.
-Counts are summed by word; open boundaries are joined with them by word; the pieces of a run of open boundaries are put together.
+One pass over the texts yields, for each group of some texts, the units that are certain and the pieces between boundaries that are open, the
+different questions that these ask, and counts. Counts are summed by word; the questions are joined with them by word; the answers go
+back to their group, where numbers, not texts, are put together.
 No table of words is collected, bounded or sent to tasks other than by Spark's own check of its size.
 """
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
 from tidemark.llm.encoding import small_batches
 from tidemark.sources.scratch import Scratch
@@ -77,7 +80,8 @@ CONTINUES = frozenset(",;:–—-·؛،、，；：%)]}»”")
 NEVER_STARTS = frozenset(",;:!?)]}»”–—")
 AFTER_WORD = ",;:!?" + CLOSERS
 BLANKS_AND_CLOSERS = CLOSERS + " \t\r\n\xa0\u202f\u3000"
-BLANKS = re.compile(r"\s*")
+BLANKS, TOKEN = re.compile(r"\s*"), re.compile(r"\s*(\S*)")
+BARE = re.compile(f"[{re.escape(OPENERS)}]*([^{re.escape(AFTER_WORD)}]*)")
 #: ! or ? and what stands after it; a sentence follows there unless that goes on
 LOUD = re.compile(r"[!?؟！？。｡।॥][" + re.escape(CLOSERS) + r"]*\s*(?=(\S))")
 #: a word that ends a sentence and no abbreviation: lower case throughout, and not short
@@ -148,18 +152,61 @@ def is_thai(text: str) -> bool:
     return THAI_BYTES[0] in raw or THAI_BYTES[1] in raw
 
 
+#: tokens come again and again; each of these keeps what it made of the last WORDS_KEPT different ones
+WORDS_KEPT = 200_000
+#: what an abbreviation that may end a sentence does
+NO, YES, UNLESS_DIGITS, IF_STARTER, IF_BRACKET = range(5)
+
+
 def _clean(word: str) -> str:
     return word if word.isascii() else HIDDEN.sub("", word)
 
 
+@lru_cache(WORDS_KEPT)
 def _bare(token: str) -> str:
     """The word of a token that begins a sentence or follows a stop."""
-    word = token.lstrip(OPENERS)
-    for i, c in enumerate(word):
-        if c in AFTER_WORD:
-            word = word[:i]
-            break
-    return _clean(word).rstrip(".")
+    return _clean(BARE.match(token)[1]).rstrip(".")
+
+
+@lru_cache(WORDS_KEPT)
+def _stopped(token: str) -> str:
+    """The word of a token that stands before a stop; none where what follows has to tell (numbers, closers, redactions)."""
+    word = _clean(token.lstrip(OPENERS))
+    return word if word and word[-1].isalpha() else ""
+
+
+@lru_cache(WORDS_KEPT)
+def _after(token: str) -> int:
+    """How a word goes on before its stop, as an index into counts, by the token after it."""
+    first = token[:1]
+    if not first:
+        return Evidence.END
+    if first.islower():
+        return Evidence.OTHER if LOWER_START.match(token) else Evidence.LOWER
+    return Evidence.LOWER if first == "," else Evidence.DIGIT if first.isdigit() else Evidence.OTHER
+
+
+@lru_cache(WORDS_KEPT)
+def _last_word(piece: str) -> str:
+    """The last word of a stretch before a stop, without what opens before it."""
+    if not piece.isalnum() or not piece.isascii():
+        piece = _clean((piece.split() or [""])[-1]) if not piece[-1:].isspace() else ""
+    return piece.lstrip(OPENERS)
+
+
+@lru_cache(WORDS_KEPT)
+def _next(token: str) -> tuple[int | None, str | None]:
+    """What a token after a stop leaves to the word before it: ``Open.then`` (null: nothing, no sentence begins so) and ``Open.starter``."""
+    first = "“" if token.startswith("â€œ") else token[:1]
+    if first in NEVER_STARTS:
+        return None, None
+    if first.islower():
+        return (YES if LOWER_START.match(token) else None), None
+    if first.isdigit():
+        return UNLESS_DIGITS, None
+    if first in "([（":
+        return IF_BRACKET, None
+    return (YES, None) if first in OPENERS else (IF_STARTER, _bare(token))
 
 
 def pair(before: str, letter: str) -> str:
@@ -218,27 +265,16 @@ class Evidence:
                 mine[word] = mine.get(word, 0) + n
 
     def _stop(self, word: str, after: str) -> None:
-        first = after[:1]
-        if first and not first.islower() and not first.isdigit() and first != ",":
+        kind = _after(after)
+        if kind == self.OTHER and not after[0].islower():
             name = _bare(after)
             self.follows[name] = self.follows.get(name, 0) + 1
-        word = _clean(word.lstrip(OPENERS))
-        if not word or not word[-1].isalpha():
-            return  # numbers, closers and redactions are judged by what follows
-        counts = self.before.get(word)
-        if counts is None:
-            counts = self.before[word] = [0, 0, 0, 0]
-        counts[self.kind(after)] += 1
-
-    @classmethod
-    def kind(cls, after: str) -> int:
-        first = after[:1]
-        if not first:
-            return cls.END
-        if first.islower():
-            return cls.OTHER if LOWER_START.match(after) else cls.LOWER
-        return cls.LOWER if first == "," else cls.DIGIT if first.isdigit() else cls.OTHER
-
+        word = _stopped(word)
+        if word:
+            counts = self.before.get(word)
+            if counts is None:
+                counts = self.before[word] = [0, 0, 0, 0]
+            counts[kind] += 1
 
 
 def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool] | None:
@@ -277,7 +313,6 @@ class Open(NamedTuple):
     negate: bool = False
 
 
-NO, YES, UNLESS_DIGITS, IF_STARTER = range(4)
 #: (is an abbreviation, may end a sentence, goes on with a digit) by form
 FORMS = ((False, True, False), (True, False, False), (True, True, True))
 
@@ -302,12 +337,12 @@ def settle(o: Open, words: dict[str, tuple[bool, bool, bool]], starters: dict[st
 class Document:
     """The paragraphs of one text, the evidence in it, and its units as far as it can tell.
 
-    ``solid``: start, end, start, end, ... of certain units. ``runs``: lists of pieces (start, end, Open before it, None for the first), of which
-    neighbours are one unit if the boundary between them turns out to be none.
+    ``solid``: start, end, start, end, ... of certain units. ``pieces``: (start, end, Open before it, None for the first of a run) in order;
+    neighbours of a run are one unit if the boundary between them turns out to be none.
     """
 
     def __init__(self, text: str):
-        self.text, self.solid, self.runs = text, [], []
+        self.text, self.solid, self.pieces = text, [], []
         self.evidence = Evidence()
         parts = paragraphs(text)
         head = head_length(text, parts)
@@ -372,6 +407,8 @@ class Document:
                 ends = closed < size and self._ends(p, s, e, closed, strict)
             if ends is False:
                 continue
+            if free < size and p[free] == " ":
+                free += 1
             while free < size and p[free].isspace():
                 free += 1
             if free >= size:
@@ -390,7 +427,7 @@ class Document:
         if len(pieces) == 1:
             self.solid += pieces[0][:2]
         else:
-            self.runs.append(pieces)
+            self.pieces += pieces
 
     @staticmethod
     def _either(gate: Open | None, if_cut: bool, if_not: bool) -> bool | Open:
@@ -430,29 +467,21 @@ class Document:
     def _ends(self, p: str, s: int, e: int, closed: int, strict: bool) -> bool | Open:
         """Whether the stop p[s:e], with the closers up to ``closed``, ends a sentence."""
         after = p[closed]
-        single = e == s + 1
-        if not (single and p[s] == "."):
+        if e != s + 1 or p[s] != ".":
             stop = p[s:e]
             if STRONG.intersection(stop):
                 return not strict and after not in CONTINUES
-            if not single or stop == "…":
+            if e != s + 1 or stop == "…":
                 at = BLANKS.match(p, closed).end()
                 nxt = p[at : at + 1]
                 return not strict and (nxt.isupper() or nxt in "¿¡" and bool(nxt))
+        token = TOKEN.match(p, closed)[1]
+        then, starter = _next(token)
+        if then is None:
+            return False
         at = p.rfind(" ", 0, s) + 1
-        word = p[at:s]
-        if not word.isalnum() or not word.isascii():
-            word = _clean((word.split() or [""])[-1]) if not p[s - 1].isspace() else ""
-        word = word.lstrip(OPENERS)
-        blank = p.find(" ", closed + 1)
-        if after.isspace():
-            token = p[closed : blank if blank > 0 else None].split()
-            if token:
-                token = token[0]
-            else:
-                token = (p[closed:].split(None, 1) or [""])[0]
-        else:  # a boundary may lack its blank
-            token = (p[closed : blank if blank > 0 else None].split() or [""])[0]
+        word = _last_word(p[at:s])
+        if not after.isspace():  # a boundary may lack its blank
             if after.isalpha():
                 tail = word[-4:]
                 if not after.isupper() or len(word) < 2 or not word[-1].islower() and not word[-1].isdigit() or "." in word and not ANY_NUMBER.fullmatch(word):
@@ -461,65 +490,52 @@ class Document:
                     return False
             elif after not in OPENERS:
                 return False
-        nxt = "“" if token.startswith("â€œ") else token[:1]
         before = p[s - 1 : s]
-        if before > "ࣿ" and ("ऀ" <= before <= "ॿ" or "฀" <= before <= "๿" or CJK.match(before)):
+        if before > "\u08ff" and ("\u0900" <= before <= "\u097f" or "\u0e00" <= before <= "\u0e7f" or CJK.match(before)):
             return False
         if len(word) == 1 and word.isalpha():
             word = pair(self._word_before(p, at if "\n" not in p[at:s] else s - 1), word)
-        return self._stop_ends(p, closed, word, token, nxt, strict)
+        if then == IF_BRACKET:
+            then = YES if self._is_sentence(p, p.find(token[0], closed)) else NO
+        return self._stop_ends(word, token, then, starter, strict)
 
     @staticmethod
     def _word_before(p: str, at: int) -> str:
         """The last word that ends before position ``at``."""
         while at and p[at - 1].isspace():
             at -= 1
-        end = at
-        while at and not p[at - 1].isspace():
-            at -= 1
-        return p[at:end]
+        words = p[p.rfind(" ", 0, at) + 1 : at].split()
+        return words[-1] if words else ""
 
-    def _stop_ends(self, p: str, closed: int, word: str, token: str, nxt: str, strict: bool) -> bool | Open:
-        lower = nxt.islower()
-        if nxt in NEVER_STARTS or lower and not LOWER_START.match(token):
-            return False
+    def _stop_ends(self, word: str, token: str, then: int, starter: str | None, strict: bool) -> bool | Open:
+        """The same for a full stop after ``word``; ``then`` and ``starter``: of ``_next``."""
         if strict:  # in what may be a line of its own, only after a word that is not short and in lower case
-            if len(word) < 4 or not word.isalpha() or not word[:1].islower() or not nxt.isupper():
+            if len(word) < 4 or not word.isalpha() or not word[:1].islower() or not token[:1].isupper():
                 return False
             abbr = self._is_abbreviation(word)
             return not abbr if abbr is not None else Open(word, None, self._form(word), NO, None, False)
         last = word[-1:]
-        if not last.isalpha():
+        if last.isalpha():
+            abbr = True if word[-2:-1] == " " else self._is_abbreviation(word)
+            if abbr is False:
+                return True
+            form = self._form(word)
+        else:
             if not last.isdigit() or not PLAIN_NUMBER.fullmatch(word):
                 return True
-            if lower or nxt.isdigit():
+            if then == UNLESS_DIGITS or token[:1].islower():
                 return False
-            word, abbr, form = None, True, 2
-            then = YES if nxt == "§" else IF_STARTER
-        else:
-            initial = word[-2:-1] == " "
-            abbr = True if initial else self._is_abbreviation(word)
-            if abbr is False:
+            if token[:1] == "§":
                 return True
-            form = self._form(word)
-            if lower:
-                then = YES
-            elif nxt.isdigit():
-                then = UNLESS_DIGITS
-            elif nxt in "([（":
-                then = YES if self._is_sentence(p, p.find(nxt, closed)) else NO
-            else:
-                then = YES if nxt in OPENERS else IF_STARTER
-        starter, starts = None, False
+            word, abbr, form, then, starter = None, True, 2, IF_STARTER, _bare(token)
+        starts = False
         if then == IF_STARTER:
-            starter = _bare(token)
-            known = self._begins(starter)
-            if known:
+            if self._begins(starter):
+                if word is None:
+                    return True
                 then, starter = YES, None
             else:
                 starts = self.evidence.follows.get(starter, 0) <= 1
-        if word is None and then == YES:
-            return True
         return False if abbr and then == NO else Open(word, abbr, form, then, starter, starts)
 
     def _begins(self, word: str) -> bool:
@@ -556,63 +572,105 @@ def units(text: str, words: dict[str, tuple[bool, bool, bool]], starters: dict[s
     """Start, end, start, end, ... of the units of one text, with a given corpus."""
     doc = Document(text)
     out = list(zip(doc.solid[::2], doc.solid[1::2]))
-    for run in doc.runs:
-        for a, b, gate in run:
-            if gate is None or settle(gate, words, starters):
-                out.append((a, b))
-            else:
-                out[-1] = (out[-1][0], b)
+    for a, b, gate in doc.pieces:
+        if gate is None or settle(gate, words, starters):
+            out.append((a, b))
+        else:
+            out[-1] = (out[-1][0], b)
     return [x for unit in sorted(out) for x in unit]
 
 
-OPEN = "word string, abbr boolean, form int, then int, starter string, starts boolean, negate boolean"
+OPEN_TYPES = [pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
 COUNTS = ["n0", "n1", "n2", "n3"]
+TEXTS_IN_GROUP = 250
 
 
-def _column(values: list, kind: pa.DataType, before: int, after: int) -> pa.Array:
-    """Values between so many nulls."""
-    return pa.concat_arrays([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
-
-
-def _read(ident: T.StructField):
-    """(ident, text) batches -> rows of the three kinds: units, pieces of open runs, counts of words."""
-    names = ["kind", ident.name, "start", "end", "run", "at", *Open._fields, *COUNTS, "counted"]
-    types = [pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        number = (context.partitionId() if context else 0) << 40
-        for batch in batches:
-            seen = Evidence()
-            solid, owners, pieces, piece_owners = [], [], [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                if not text:
-                    continue
-                doc = Document(text)
-                solid += doc.solid
-                owners.append((row, len(doc.solid) // 2))
-                for r in doc.runs:
-                    number += 1
-                    pieces += [(a, b, number, i, *(gate or (None,) * 7)) for i, (a, b, gate) in enumerate(r)]
-                    piece_owners.append((row, len(r)))
-                seen.add(doc.evidence)
-            counts = [("stop", w, *c) for w, c in seen.before.items()]
-            counts += [("start", w, seen.starts.get(w, 0), seen.follows.get(w, 0), 0, 0) for w in seen.starts.keys() | seen.follows.keys()]
-            u, o, c = len(solid) // 2, len(pieces), len(counts)
-            rows = np.repeat(*np.array(owners + piece_owners, np.int64).reshape(-1, 2).T)
-            ids = pa.concat_arrays([batch.column(0).take(pa.array(rows)), pa.nulls(c, batch.schema.field(0).type)])
-            at, p, n = np.array(solid, np.int64), list(zip(*pieces)) or [()] * 11, list(zip(*counts)) or [()] * 6
-            ends = [pa.concat_arrays([pa.array(at[i::2]), pa.array(p[i], pa.int64()), pa.nulls(c, pa.int64())]) for i in (0, 1)]
-            kinds = pa.array(["unit"] * u + ["piece"] * o + ["count"] * c, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    kinds, ids, *ends, _column(p[2], pa.int64(), u, c), _column(p[3], pa.int32(), u, c), *[_column(p[4 + i], t, u, c) for i, t in enumerate(types)],
-                    *[_column(n[2 + i], pa.int64(), u + o, 0) for i in range(4)], _column([f"{k} {w}" for k, w in zip(n[0], n[1])], pa.string(), u + o, 0),
-                ],
-                names,
-            )
-
-    return run
+class Group:
+    """What some texts, read together, come to.
+
+    ``solid``: start, end, ... of certain units, ``solid_of``: how many of them each text has. ``starts``, ``ends``: pieces of open runs, in order, ``piece_of``: how many of them each text has.
+    ``gates``: for each piece the number of the question that decides whether it begins a unit, -1 where it does in any case.
+    ``questions``: the different open boundaries; ``seen``: evidence for the corpus.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        self.solid, self.solid_of, self.starts, self.ends, self.gates, self.piece_of = [], [], [], [], [], []
+        self.questions: dict[Open, int] = {}
+        self.seen = Evidence()
+        ask = self.questions
+        for text in texts:
+            doc = Document(text) if text else None
+            if doc:
+                self.solid += doc.solid
+                if doc.pieces:
+                    starts, ends, gates = zip(*doc.pieces)
+                    self.starts += starts
+                    self.ends += ends
+                    self.gates += [-1 if g is None else ask.setdefault(g, len(ask)) for g in gates]
+                self.seen.add(doc.evidence)
+            self.solid_of.append(len(doc.solid) // 2 if doc else 0)
+            self.piece_of.append(len(doc.pieces) if doc else 0)
+
+
+def _one(values: list, kind: pa.DataType) -> pa.Array:
+    """A column of one row that holds a list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
+
+
+def _layout(ident: pa.DataType) -> list[tuple[str, pa.DataType]]:
+    lists = [("idents", ident), ("solid", pa.int64()), ("solid_of", pa.int32()), ("starts_at", pa.int64()), ("ends_at", pa.int64()), ("gates", pa.int32()), ("piece_of", pa.int32())]
+    return [
+        ("kind", pa.string()), ("grp", pa.int64()), *[(n, pa.list_(t)) for n, t in lists], ("question", pa.int32()), *zip(Open._fields, OPEN_TYPES),
+        ("counted", pa.string()), *[(n, pa.int64()) for n in COUNTS],
+    ]
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ident, text) -> rows of three kinds: groups of texts, questions about open boundaries, counts of words."""
+    context = TaskContext.get()
+    number = (context.partitionId() if context else 0) << 32
+    for whole in batches:
+        layout = _layout(whole.schema.field(0).type)
+        for at in range(0, whole.num_rows, TEXTS_IN_GROUP):
+            batch = whole.slice(at, TEXTS_IN_GROUP)
+            number += 1
+            group = Group(batch.column(1).to_pylist())
+            seen = group.seen
+            counts = [(f"stop {w}", *c) for w, c in seen.before.items()]
+            counts += [(f"start {w}", seen.starts.get(w, 0), seen.follows.get(w, 0), 0, 0) for w in seen.starts.keys() | seen.follows.keys()]
+            lists = ("solid", "solid_of", "starts", "ends", "gates", "piece_of")
+            kinds = [t.value_type for _, t in layout[3:9]]
+            yield _rows(layout, "group", 1, {"grp": [number], "idents": _one(batch.column(0), None), **{n: _one(getattr(group, a), t) for (n, _), a, t in zip(layout[3:9], lists, kinds)}})
+            if group.questions:
+                asked = dict(zip(Open._fields, zip(*group.questions)))
+                yield _rows(layout, "question", len(group.questions), {"grp": [number] * len(group.questions), "question": list(group.questions.values()), **asked})
+            if counts:
+                yield _rows(layout, "count", len(counts), dict(zip(["counted", *COUNTS], zip(*counts))))
+
+
+def _rows(layout: list[tuple[str, pa.DataType]], kind: str, size: int, columns: dict) -> pa.RecordBatch:
+    """Rows of one kind, with nulls in the columns of the others."""
+    out = []
+    for name, t in layout:
+        c = [kind] * size if name == "kind" else columns.get(name)
+        out.append(pa.nulls(size, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t))
+    return pa.RecordBatch.from_arrays(out, [n for n, _ in layout])
+
+
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups with the answers to their questions -> (ident, start_char, end_char)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            idents, solid, solid_of, starts, ends, gates, piece_of, answers = (batch.column(c)[i].values for c in range(8))
+            solid, starts, ends, gates = (x.to_numpy() for x in (solid, starts, ends, gates))
+            cuts = gates < 0
+            if answers is not None:
+                cuts |= answers.to_numpy(zero_copy_only=False)[gates]  # a gate of -1 is true before
+            first = np.flatnonzero(cuts)
+            last = np.append(first[1:], len(starts))[: len(first)] - 1
+            owners = np.repeat(np.arange(len(idents)), solid_of.to_numpy()), np.repeat(np.arange(len(idents)), piece_of.to_numpy())[first]
+            ids = idents.take(pa.array(np.concatenate(owners)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([solid[::2], starts[first]])), pa.array(np.concatenate([solid[1::2], ends[last]]))], ["ident", "start_char", "end_char"])
 
 
 def corpus_words(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -652,21 +710,20 @@ def sentence_units(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """(ident, start_char, end_char): the sentence units of each text, as offsets in code points from 0.
 
     A unit reaches from its first non-blank character to just after its last. Null, empty and blank texts have none. One pass
-    over the texts and no shuffle of them: only word counts and pieces at open boundaries are.
+    over the texts and no shuffle of them: only word counts and the different questions of each group of texts are.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(ident, text)
     field = rows.schema[ident]
-    places = T.StructType.fromDDL(f"start bigint, end bigint, run bigint, at int, {OPEN}, {', '.join(f'{c} bigint' for c in COUNTS)}, counted string")
     box = Scratch(spark, "sentences")
-    read = box.table(rows.mapInArrow(_read(field), T.StructType([T.StructField("kind", T.StringType()), field, *places.fields])), "read", ["kind"])
+    kind = T.StructType([T.StructField(n, field.dataType if n == "ident" else from_arrow_type(t)) for n, t in _layout(to_arrow_type(field.dataType))])
+    read = box.table(rows.mapInArrow(_read, kind), "read", ["kind"])
     words, starters = (box.table(t, n) for t, n in zip(corpus_words(read.where("kind = 'count'")), ("words", "starters")))
-    pieces = read.where("kind = 'piece'").select(ident, "start", "end", "run", "at", *Open._fields)
-    pieces = pieces.join(words, F.col("word") == F.col("c_word"), "left").join(starters, F.col("starter") == F.col("c_starter"), "left")
-    cut = F.when(F.col("at") == 0, 1).otherwise(_settled().cast("int"))
-    in_run = Window.partitionBy("run").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = pieces.select(ident, "run", "at", "start", "end", cut.alias("cut")).withColumn("unit", F.sum("cut").over(in_run))
-    joined = placed.groupBy("run", "unit").agg(F.first(ident).alias(ident), F.min("start").alias("start_char"), F.max("end").alias("end_char"))
-    units = read.where("kind = 'unit'").select(ident, F.col("start").alias("start_char"), F.col("end").alias("end_char"))
-    return units.unionByName(joined.select(ident, "start_char", "end_char"))
+    asked = read.where("kind = 'question'").select("grp", "question", *Open._fields)
+    asked = asked.join(words, F.col("word") == F.col("c_word"), "left").join(starters, F.col("starter") == F.col("c_starter"), "left")
+    told = asked.select("grp", F.struct("question", _settled().alias("cut")).alias("q")).groupBy("grp").agg(F.transform(F.array_sort(F.collect_list("q")), lambda q: q["cut"]).alias("answers"))
+    told = box.table(told, "answers").withColumnRenamed("grp", "a_grp")
+    groups = read.where("kind = 'group'").join(told, F.col("grp") == F.col("a_grp"), "left").select(*[n for n, _ in _layout(pa.int64())[2:9]], "answers")
+    placed = groups.mapInArrow(_place, T.StructType([T.StructField("ident", field.dataType), T.StructField("start_char", T.LongType()), T.StructField("end_char", T.LongType())]))
+    return placed.withColumnRenamed("ident", ident)

@@ -168,22 +168,30 @@ def _bare(token: str) -> str:
     return _clean(BARE.match(token)[1]).rstrip(".")
 
 
+STOP_END, COMMA_END, LOUD_END = range(3)
+
+
 @lru_cache(WORDS_KEPT)
-def _stopped(token: str) -> str:
-    """The word of a token that stands before a stop; none where what follows has to tell (numbers, closers, redactions)."""
-    word = _clean(token.lstrip(OPENERS))
-    return word if word and word[-1].isalpha() else ""
+def _read_token(token: str) -> tuple[int | None, str]:
+    """How a token ends (a full stop, one with a comma after it, ! or ?), and the word before the stop; none where what follows has to tell (numbers, closers, redactions)."""
+    last = token[-1]
+    if last == "." or last in ",;:" and token[-2:-1] == ".":
+        word = _clean(token[: -1 if last == "." else -2].lstrip(OPENERS))
+        return STOP_END if last == "." else COMMA_END, word if word and word[-1].isalpha() else ""
+    return (LOUD_END if last not in ",;:" and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK else None), ""
 
 
 @lru_cache(WORDS_KEPT)
-def _after(token: str) -> int:
-    """How a word goes on before its stop, as an index into counts, by the token after it."""
+def _after(token: str) -> tuple[int, str | None]:
+    """How a word goes on after its stop, by the next token: an index into counts, and the word that may begin a sentence there."""
     first = token[:1]
     if not first:
-        return Evidence.END
+        return Evidence.END, None
     if first.islower():
-        return Evidence.OTHER if LOWER_START.match(token) else Evidence.LOWER
-    return Evidence.LOWER if first == "," else Evidence.DIGIT if first.isdigit() else Evidence.OTHER
+        return (Evidence.OTHER if LOWER_START.match(token) else Evidence.LOWER), None
+    if first == ",":
+        return Evidence.LOWER, None
+    return (Evidence.DIGIT, None) if first.isdigit() else (Evidence.OTHER, _bare(token))
 
 
 @lru_cache(WORDS_KEPT)
@@ -209,6 +217,7 @@ def _next(token: str) -> tuple[int | None, str | None]:
     return (YES, None) if first in OPENERS else (IF_STARTER, _bare(token))
 
 
+@lru_cache(WORDS_KEPT)
 def pair(before: str, letter: str) -> str:
     """What a single letter is known by: the word before it, numbers being alike, and the letter ("w. N", "Col. H")."""
     before = _clean(before.lstrip(OPENERS))
@@ -234,22 +243,31 @@ class Evidence:
         if not tokens:
             return
         self.plain.update(tokens)
-        starts = self.starts
+        starts, follows, before = self.starts, self.follows, self.before
         first = _bare(tokens[0])
         starts[first] = starts.get(first, 0) + 1
         hits = [i for i, t in enumerate(tokens) if t[-1] in READ]
         tokens.append("")
         for i in hits:
-            token = tokens[i]
-            last = token[-1]
-            if last == ".":
-                self._stop(token[:-1] if len(token) != 2 or not i else pair(tokens[i - 1], token[:1]), tokens[i + 1])
-            elif last in ",;:":
-                if token[-2:-1] == ".":
-                    self._stop(token[:-2] if len(token) != 3 or not i else pair(tokens[i - 1], token[:1]), ",")
-            elif tokens[i + 1] and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK:
-                first = _bare(tokens[i + 1])
-                starts[first] = starts.get(first, 0) + 1
+            how, word = _read_token(tokens[i])
+            if how is None:
+                continue
+            after = tokens[i + 1]
+            if how == LOUD_END:
+                if after:
+                    first = _bare(after)
+                    starts[first] = starts.get(first, 0) + 1
+                continue
+            kind, name = _after(after) if how == STOP_END else (self.LOWER, None)
+            if name is not None:
+                follows[name] = follows.get(name, 0) + 1
+            if len(word) == 1 and i and tokens[i][0] == word:
+                word = pair(tokens[i - 1], word)
+            if word:
+                counts = before.get(word)
+                if counts is None:
+                    counts = before[word] = [0, 0, 0, 0]
+                counts[kind] += 1
 
     def add(self, other: "Evidence") -> None:
         """Add the counts of a document to those of many."""
@@ -264,18 +282,6 @@ class Evidence:
             for word, n in more.items():
                 mine[word] = mine.get(word, 0) + n
 
-    def _stop(self, word: str, after: str) -> None:
-        kind = _after(after)
-        if kind == self.OTHER and not after[0].islower():
-            name = _bare(after)
-            self.follows[name] = self.follows.get(name, 0) + 1
-        word = _stopped(word)
-        if word:
-            counts = self.before.get(word)
-            if counts is None:
-                counts = self.before[word] = [0, 0, 0, 0]
-            counts[kind] += 1
-
 
 def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool] | None:
     """What counts of a word before a stop say about it; None if they are too few to tell a name from an abbreviation.
@@ -375,7 +381,16 @@ class Document:
                 continue
             c = p[s]
             end, ends = 0, False
-            if c in QUOTES:
+            if c == ".":
+                e = s + 1
+                after = p[e : e + 1]
+                if after.isdigit() or after.islower():
+                    continue
+                if after and after in TERMINATORS:
+                    e = STOPS.match(p, s).end()
+                end = free = closed = self._closers(p, e) if after in CLOSERS or e > s + 1 else e
+                ends = closed < size and self._ends(p, s, e, closed, strict)
+            elif c in QUOTES:
                 span = QUOTES[c].match(p, s)
                 if span:
                     end = free = span.end()
@@ -394,15 +409,7 @@ class Document:
                     free = end = self._closers(p, free)
                     ends = True
             else:
-                e = s + 1
-                if c == ".":
-                    after = p[e : e + 1]
-                    if after.isdigit() or after.islower():
-                        continue
-                    if after in TERMINATORS and after:
-                        e = STOPS.match(p, s).end()
-                else:
-                    e = STOPS.match(p, s).end()
+                e = STOPS.match(p, s).end()
                 end = free = closed = self._closers(p, e)
                 ends = closed < size and self._ends(p, s, e, closed, strict)
             if ends is False:

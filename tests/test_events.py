@@ -14,14 +14,14 @@ from tidemark.plans.canonical_json import full_json
 from tidemark.sources import protobuf, schema
 
 B = lambda n, size=32: f"{n:02x}" * size
-HEADER = {"block_hash": B(0xAB), "prev_block_hash": B(0xAA), "height": 321, "work": B(0x44), "timestamp": 1750000000}
-DEPOSIT = {"sequence_number": 12, "outpoint": {"txid": B(0x55), "vout": 3}, "output": {"address": "01020304", "value_sats": 42000}}
+HEADER = {"block_hash": B(0xAB), "prev_block_hash": B(0xAA), "height": 70_406, "work": B(0x0D), "timestamp": 1_733_000_111}
+DEPOSIT = {"sequence_number": 905, "outpoint": {"txid": B(0xE1), "vout": 6}, "output": {"address": "7e57", "value_sats": 1_250_009}}
 SUBMITTED = {"m6id": "0a0b", "event": {"submitted": True}}
-SUCCEEDED = {"m6id": "0a0b", "event": {"succeeded": {"sequence_number": 13, "transaction": "010203"}}}
+SUCCEEDED = {"m6id": "0a0b", "event": {"succeeded": {"sequence_number": 906, "transaction": "d0d1"}}}
 DECLARED = {"v0": {"title": "t", "description": "", "hash_id_1": "0102", "hash_id_2": "0304"}}
-PROPOSAL = {"sidechain_number": 7, "description": "c0ff", "declaration": None, "description_sha256d_hash": B(0x22), "vote_count": 4, "proposal_height": 100, "proposal_age": 6}
-ACTIVE = {"sidechain_number": 7, "description": "c0ff", "vote_count": 9, "proposal_height": 100, "activation_height": 200, "declaration": DECLARED}
-CONSTANTS = dict(zip(schema.CONSTANTS, (10, 7, 20, 15, 30, 25, 100)))
+PROPOSAL = {"sidechain_number": 7, "description": "5eed", "declaration": None, "description_sha256d_hash": B(0x2E), "vote_count": 31, "proposal_height": 70_000, "proposal_age": 406}
+ACTIVE = {"sidechain_number": 7, "description": "5eed", "vote_count": 77, "proposal_height": 69_000, "activation_height": 70_100, "declaration": DECLARED}
+CONSTANTS = dict(zip(schema.CONSTANTS, (41, 23, 67, 59, 83, 71, 1_009)))
 
 
 def read(spark, kind, value, function):
@@ -33,7 +33,7 @@ def read(spark, kind, value, function):
 
 
 def connect(spark, block=None, head=HEADER, slot=9):
-    message = {"connect_block": {"header_info": head, "block_info": {"bmm_commitment": B(0x99), "events": []} if block is None else block}}
+    message = {"connect_block": {"header_info": head, "block_info": {"bmm_commitment": B(0xB3), "events": []} if block is None else block}}
     df = filled(spark, f"slot bigint, x {schema.RAW_SUBSCRIPTION}", [(slot, message)])
     got = normalize.subscription_event(F.col("slot"), F.col("x"))["block_connected"]
     row = df.select(got.value.alias("v"), got.error.alias("e")).first()
@@ -42,7 +42,7 @@ def connect(spark, block=None, head=HEADER, slot=9):
 
 def test_header_and_order_of_reasons(spark):
     value, error = read(spark, schema.RAW_HEADER, HEADER, lambda c: normalize.header(c, "h"))
-    assert error is None and bytes(value["hash"]) == b"\xab" * 32 and value["height"] == 321
+    assert error is None and bytes(value["hash"]) == b"\xab" * 32 and value["height"] == 70_406
     bad = HEADER | {"block_hash": "zz", "prev_block_hash": None, "work": "00"}
     for fixed, reason in (({}, "invalid hex in h.block_hash"), ({"block_hash": B(1)}, "missing h.prev_block_hash"), ({"block_hash": B(1), "prev_block_hash": B(2)}, "h.work must contain 32 bytes, got 1")):
         assert read(spark, schema.RAW_HEADER, bad | fixed, lambda c: normalize.header(c, "h"))[1] == reason
@@ -55,7 +55,7 @@ def test_connected_block(spark):
     events = [{"deposit": DEPOSIT}, {"withdrawal_bundle": SUBMITTED}, {"withdrawal_bundle": {"m6id": "", "event": {"failed": True}}}, {"withdrawal_bundle": SUCCEEDED}]
     value, error = connect(spark, {"bmm_commitment": "", "events": events})
     assert error is None and value["sidechain_number"] == 9 and bytes(value["bmm_commitment"]) == b""
-    assert value["events"][0]["deposit"]["value_sats"] == 42000 and value["events"][3]["withdrawal_bundle"]["succeeded"]["sequence_number"] == 13
+    assert value["events"][0]["deposit"]["value_sats"] == 1_250_009 and value["events"][3]["withdrawal_bundle"]["succeeded"]["sequence_number"] == 906
     assert connect(spark, {"bmm_commitment": None, "events": []})[0]["bmm_commitment"] is None
 
 
@@ -92,7 +92,7 @@ def test_snapshots(spark):
     assert read(spark, schema.RAW_ACTIVE, [ACTIVE | {"activation_height": None, "declaration": {"v0": None}}], normalize.active_sidechains)[1] == "sidechain 0: missing sidechain.activation_height"
     info = {"network": 77, "bip300_constants": CONSTANTS}
     value, error = read(spark, schema.RAW_CHAIN_INFO, info, normalize.chain_info)
-    assert error is None and value["network"] == 1 and value["bip300_constants"]["activation_height"] == 100
+    assert error is None and value["network"] == 1 and value["bip300_constants"]["activation_height"] == 1_009
     assert read(spark, schema.RAW_CHAIN_INFO, {"network": 3, "bip300_constants": None}, normalize.chain_info)[1] == "missing chain_info.bip300_constants"
     assert read(spark, schema.RAW_CHAIN_TIP, {"block_header_info": HEADER}, normalize.chain_tip)[1] is None
     assert read(spark, schema.RAW_CHAIN_TIP, {"block_header_info": None}, normalize.chain_tip)[1] == "missing chain_tip.block_header_info"
@@ -102,14 +102,14 @@ def test_ctip(spark):
     slot = lambda c: normalize.ctip(F.lit(8).cast("bigint"), c)
     value, error = read(spark, schema.RAW_CTIP, None, slot)
     assert error is None and value["ctip"] is None and value["sidechain_number"] == 8
-    value, error = read(spark, schema.RAW_CTIP, {"txid": B(0x66), "vout": None, "value": 2**64 - 1, "sequence_number": 8}, slot)
+    value, error = read(spark, schema.RAW_CTIP, {"txid": B(0xE2), "vout": None, "value": 2**64 - 1, "sequence_number": 8}, slot)
     assert error is None and value["ctip"]["vout"] == 0 and value["ctip"]["value_sats"] == 2**64 - 1
     assert read(spark, schema.RAW_CTIP, {"txid": "0x"}, slot)[1] == "invalid hex in ctip.txid"
 
 
 def test_backfill_equals_live(spark):
     infos = f"array<{schema.RAW_CONNECT}>"
-    block = {"header_info": HEADER, "block_info": {"bmm_commitment": B(0x99), "events": [{"deposit": DEPOSIT}]}}
+    block = {"header_info": HEADER, "block_info": {"bmm_commitment": B(0xB3), "events": [{"deposit": DEPOSIT}]}}
     value, error = read(spark, infos, [block, block], lambda c: normalize.block_infos(F.lit(9).cast("bigint"), c))
     assert error is None and value[0] == value[1] == connect(spark, block["block_info"])[0]
     assert read(spark, infos, [block, {"header_info": None, "block_info": None}], lambda c: normalize.block_infos(F.lit(9).cast("bigint"), c))[1] == "block info 1: missing header_info"
@@ -131,7 +131,7 @@ def test_modes(spark):
 HEAD = {"hash": b"\xab" * 32, "previous_hash": b"\xaa" * 32, "height": 5, "chain_work": b"\x01" * 32, "timestamp": 7}
 PAID = {"deposit": {"sequence_number": 7, "outpoint": {"txid": b"\x11" * 32, "vout": 2}, "address": b"\x01\x02", "value_sats": 2**64 - 1}}
 EVENTS = {
-    "chain_info": ({"network": 3, "bip300_constants": CONSTANTS}, "network=network_regtest activation_height=100 withdrawal_bundle_max_age=10"),
+    "chain_info": ({"network": 3, "bip300_constants": CONSTANTS}, "network=network_regtest activation_height=1009 withdrawal_bundle_max_age=41"),
     "chain_tip": ({"header": HEAD}, f"height=5 block_hash={B(0xAB)}"),
     "sidechain_proposals": ({"proposals": [{"sidechain_number": 1, "raw_description": b"\xc0", "description_hash": b"\x02" * 32, "vote_count": 1, "proposal_height": 2, "proposal_age": 3, "declaration": {"v0": {"title": "t", "description": "d", "hash_id_1": b"\x01", "hash_id_2": b""}}}]}, "proposal_count=1"),
     "active_sidechains": ({"sidechains": []}, "sidechain_count=0"),
@@ -171,15 +171,15 @@ def test_one_of_each_kind(spark):
 @pytest.mark.parametrize(
     ("bad", "reason"),
     [
-        ({"timestamp": 1, "enforcer": None}, "event envelope does not contain a monitor event"),
-        ({"timestamp": 1, "enforcer": {}}, "enforcer event does not contain a concrete event"),
-        (event("chain_info", {"network": 9, "bip300_constants": CONSTANTS}), "chain info contains an unknown network value"),
+        ({"timestamp": 1, "enforcer": None}, "event holds nothing"),
+        ({"timestamp": 1, "enforcer": {}}, "enforcer event has no kind"),
+        (event("chain_info", {"network": 9, "bip300_constants": CONSTANTS}), "chain_info.network is no known network"),
         (event("chain_tip", {"header": None}), "missing chain_tip.header"),
         (event("chain_tip", {"header": HEAD | {"previous_hash": b"x"}}), "block_header.previous_hash must contain 32 bytes, got 1"),
         (event("block_disconnected", {"block_hash": b"x" * 31, "sidechain_number": 300}), "block_disconnected.block_hash must contain 32 bytes, got 31"),
-        (event("block_connected", {"header": HEAD, "sidechain_number": 1, "events": [{}]}), "sidechain event is missing its concrete event"),
-        (event("block_connected", {"header": HEAD, "sidechain_number": 1, "events": [{"withdrawal_bundle": {"m6id": b""}}]}), "withdrawal bundle is missing its state"),
-        (event("active_sidechains", {"sidechains": [{"sidechain_number": 1, "declaration": {"v0": None}}]}), "sidechain declaration is missing its concrete version"),
+        (event("block_connected", {"header": HEAD, "sidechain_number": 1, "events": [{}]}), "sidechain_event is neither deposit nor withdrawal_bundle"),
+        (event("block_connected", {"header": HEAD, "sidechain_number": 1, "events": [{"withdrawal_bundle": {"m6id": b""}}]}), "withdrawal_bundle has no state"),
+        (event("active_sidechains", {"sidechains": [{"sidechain_number": 1, "declaration": {"v0": None}}]}), "declaration has no version that is known"),
     ],
 )
 def test_consumer_rejects(spark, bad, reason):
@@ -201,7 +201,7 @@ def test_wire_round_trip(spark):
 
 
 def test_bad_payloads_are_data(spark):
-    good = protobuf.to_message(event("ctip", {"sidechain_number": 9, "ctip": None})).SerializeToString()
+    good = protobuf.encoder()(event("ctip", {"sidechain_number": 9, "ctip": None}))
     df = spark.createDataFrame([(0, b"\xff\x00"), (1, b""), (2, good), (3, None)], "i bigint, payload binary")
     rows = protobuf.decode(df).orderBy("i").collect()
     assert [(r["decode_error"] is not None, r["payload_len"]) for r in rows] == [(True, 2), (False, 0), (False, len(good)), (False, None)]
@@ -212,9 +212,17 @@ def test_bad_payloads_are_data(spark):
 @given(st.binary(max_size=40), st.integers(0, 2**32 - 1), st.integers(0, 2**64 - 1))
 def test_any_value_survives_the_wire(raw, small, large):
     row = event("ctip", {"sidechain_number": small, "ctip": {"txid": raw, "vout": small, "value_sats": large, "sequence_number": large}})
-    again = protobuf.to_row(protobuf.event_class().FromString(protobuf.to_message(row).SerializeToString()))
+    again = protobuf.reader()(protobuf.event_class().FromString(protobuf.encoder()(row)))
     assert again["enforcer"]["ctip"] == row["enforcer"]["ctip"] and again["timestamp"] == row["timestamp"]
 
 
+def test_bytes_are_those_of_the_library(spark):
+    rows = [event(k, v) for k, (v, _) in EVENTS.items()] + [event("chain_info", {"network": -3}), {"timestamp": None, "enforcer": None}, event("chain_tip", {"header": {"height": 2**32 - 1}})]
+    for row in rows:
+        raw = protobuf.encoder()(row)
+        parsed = protobuf.event_class().FromString(raw)
+        assert parsed.SerializeToString(deterministic=True) == raw
+
+
 def test_byte_fields(spark):
     assert schema.byte_fields() == {"address", "block_hash", "bmm_commitment", "chain_work", "description_hash", "hash", "hash_id_1", "hash_id_2", "m6id", "previous_hash", "raw_description", "transaction", "txid"}

@@ -74,9 +74,14 @@ def optional(c: Column, read: Checked) -> Checked:
 
 def each(items: Column, read, name: str) -> Checked:
     """Every element of an array, read in order; the first failure names its index."""
-    errors = F.transform(items, lambda x, i: F.when(read(x).error.isNotNull(), F.concat(F.lit(f"{name} "), i.cast("string"), F.lit(": "), read(x).error)))
-    first = F.try_element_at(F.filter(errors, lambda e: e.isNotNull()), F.lit(1))
-    return Checked(F.transform(items, lambda x: read(x).value), first)
+
+    def one(x: Column, i: Column) -> Column:
+        got = read(x)
+        return F.struct(got.value.alias("value"), F.concat(F.lit(f"{name} "), i.cast("string"), F.lit(": "), got.error).alias("error"))
+
+    both = F.transform(items, one)
+    first = F.try_element_at(F.filter(both["error"], lambda e: e.isNotNull()), F.lit(1))
+    return Checked(both["value"], first)
 
 
 def lower_hex(raw: Column) -> Column:

@@ -5,6 +5,7 @@ own protobuf functions need a jar that is not part of the distribution. Batches
 """
 
 from collections.abc import Iterator
+from decimal import Decimal
 from functools import cache
 
 import pyarrow as pa
@@ -73,58 +74,78 @@ def event_class():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("tidemark.Event"))
 
 
-def to_message(row: dict, message=None):
-    """A row of EVENT as a message; nulls stay unset."""
-    message = event_class()() if message is None else message
-    for field in message.DESCRIPTOR.fields:
-        value = row.get(field.name)
-        if value is None:
-            continue
-        if field.message_type is None:
-            setattr(message, field.name, int(value) if field.cpp_type not in (field.CPPTYPE_STRING,) else value)
-        elif field.is_repeated:
-            for v in value:
-                to_message(v, getattr(message, field.name).add())
-        elif value is True:
-            getattr(message, field.name).SetInParent()
-        else:
-            inner = getattr(message, field.name)
-            inner.SetInParent()
-            to_message(value, inner)
-    return message
-
-
-def to_row(message) -> dict | bool:
-    """A message as a row of EVENT; unset members of a group and unset messages are null, other unset fields their default."""
-    fields = message.DESCRIPTOR.fields
-    if not fields:
-        return True
-    out = {}
-    for field in fields:
-        if field.is_repeated:
-            out[field.name] = [to_row(v) for v in getattr(message, field.name)]
-        elif field.has_presence:
-            there = message.HasField(field.name)
-            value = getattr(message, field.name)
-            out[field.name] = None if not there else to_row(value) if field.message_type else value
-        else:
-            out[field.name] = getattr(message, field.name)
-    return out
-
-
-def _fitting(value, kind: T.DataType):
-    """Numbers of 64 bits as the decimals the schema asks for."""
-    if value is None:
-        return None
-    if isinstance(kind, T.StructType):
-        return {f.name: _fitting(value[f.name], f.dataType) for f in kind.fields}
-    if isinstance(kind, T.ArrayType):
-        return [_fitting(v, kind.elementType) for v in value]
-    if isinstance(kind, T.DecimalType):
-        from decimal import Decimal
-
-        return Decimal(value)
-    return value
+def _varint(n: int) -> bytes:
+    """A number on the wire; a negative one as 64 bits."""
+    n &= 0xFFFFFFFFFFFFFFFF
+    out = bytearray()
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+_SMALL = [_varint(i) for i in range(1 << 14)]
+
+
+def _size(n: int) -> bytes:
+    return _SMALL[n] if 0 <= n < 1 << 14 else _varint(n)
+
+
+@cache
+def encoder(name: str = "Event"):
+    """A function from a row of the message (a dict; missing and null fields are unset) to its bytes, fields in the order of their numbers."""
+    steps = []
+    for number, field, kind, *group in sorted(MESSAGES[name]):
+        base = kind.rstrip("*?")
+        varint = base in ("int32", "uint32", "uint64")
+        always = bool(group) or kind.endswith("?")
+        steps.append((field, _varint(number << 3 | (0 if varint else 2)), varint, always, base == "string", kind.endswith("*"), encoder(base) if base in MESSAGES else None))
+
+    def write(row: dict) -> bytes:
+        out = []
+        for field, tag, varint, always, text, many, inner in steps:
+            value = row.get(field)
+            if value is None:
+                continue
+            if inner is not None:
+                for v in value if many else (value,):
+                    raw = b"" if v is True else inner(v)
+                    out += (tag, _size(len(raw)), raw)
+            elif varint:
+                value = int(value)
+                if value or always:
+                    out += (tag, _size(value))
+            elif value or always:
+                raw = value.encode() if text else value
+                out += (tag, _size(len(raw)), raw)
+        return b"".join(out)
+
+    return write
+
+
+@cache
+def reader(name: str = "Event"):
+    """A function from a message to a row of it; unset members of a group and unset messages are null, other unset fields their
+    default, numbers of 64 bits decimals. A message without fields is true."""
+    if not MESSAGES[name]:
+        return lambda message: True
+    steps = []
+    for _, field, kind, *_ in MESSAGES[name]:
+        base = kind.rstrip("*?")
+        steps.append((field, kind.endswith("*"), base in MESSAGES or kind.endswith("?"), reader(base) if base in MESSAGES else Decimal if base == "uint64" else None))
+
+    def read(message) -> dict:
+        out = {}
+        for field, many, presence, inner in steps:
+            if presence and not many and not message.HasField(field):
+                out[field] = None
+                continue
+            value = getattr(message, field)
+            out[field] = [inner(v) for v in value] if many else inner(value) if inner else value
+        return out
+
+    return read
 
 
 def encode(df: DataFrame, event: str = "event", payload: str = "payload") -> DataFrame:
@@ -133,8 +154,9 @@ def encode(df: DataFrame, event: str = "event", payload: str = "payload") -> Dat
     out = T.StructType([*[df.schema[c] for c in rest], T.StructField(payload, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        write = encoder()
         for b in batches:
-            raw = [None if r is None else to_message(r).SerializeToString(deterministic=True) for r in b.column(len(rest)).to_pylist()]
+            raw = [None if r is None else write(r) for r in b.column(len(rest)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(raw, pa.binary())], [*rest, payload])
 
     return df.select(*rest, event).mapInArrow(run, out)
@@ -156,13 +178,14 @@ def decode(df: DataFrame, payload: str = "payload", event: str = "event") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from google.protobuf.message import DecodeError
 
+        parse, read = event_class().FromString, reader()
         for b in batches:
             events, errors, sizes = [], [], []
             for raw in b.column(len(rest)).to_pylist():
                 row = error = None
                 if raw is not None:
                     try:
-                        row = _fitting(to_row(event_class().FromString(raw)), kind)
+                        row = read(parse(raw))
                     except DecodeError as e:
                         error = f"invalid payload: {e}"
                 events.append(row)

@@ -1,9 +1,8 @@
-import os
-
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tests.transport import broken
 from tidemark.plans import adapter
 from tidemark.queries import monitor
 from tidemark.sources import protobuf
@@ -42,14 +41,14 @@ def test_failfast_ends_the_query(feed):
 
 
 def test_bad_payload_does_not_end_the_stream(spark, tmp_path):
-    good = protobuf.to_message({"timestamp": 5, "enforcer": {"ctip": {"sidechain_number": 9, "ctip": None}}}).SerializeToString()
-    no_kind = protobuf.to_message({"timestamp": 5, "enforcer": {}}).SerializeToString()
+    good = protobuf.encoder()({"timestamp": 5, "enforcer": {"ctip": {"sidechain_number": 9, "ctip": None}}})
+    no_kind = protobuf.encoder()({"timestamp": 5, "enforcer": {}})
     df = spark.createDataFrame([(1, None, b"\xff\x00"), (2, None, no_kind), (3, None, good)], pipeline.PAYLOADS)
     df.write.parquet(f"{tmp_path}/in")
     live = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
     to_memory(pipeline.consume(live, True).select("arrival_seq", "rejected", "summary", "full_json"), "consumed")
     rows = {r["arrival_seq"]: r for r in spark.table("consumed").collect()}
-    assert rows[1]["rejected"].startswith("invalid payload") and rows[2]["rejected"] == "enforcer event does not contain a concrete event"
+    assert rows[1]["rejected"].startswith("invalid payload") and rows[2]["rejected"] == "enforcer event has no kind"
     assert rows[3]["rejected"] is None and rows[3]["summary"] == "sidechain=9 present=false" and '"ctip":null' in rows[3]["full_json"]
 
 
@@ -84,29 +83,60 @@ def test_snapshot_comes_first(spark, feed, tmp_path):
     assert seen[0] == (-1, 1) and [n for n, _ in seen[1:]] == list(range(len(seen) - 1)) and sum(c for _, c in seen[1:]) == feed[0].count()
 
 
-def test_source_and_sink(spark, tmp_path):
-    inbox, out = tmp_path / "inbox", tmp_path / "out"
-    inbox.mkdir()
+def slots(spark, inbox, which="9,98", transport="tests.transport", **options):
     source.register(spark)
+    return spark.readStream.format("slot_stream").option("transport", transport).option("slots", which).option("inbox", str(inbox)).options(**options).load()
+
+
+def test_source(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
     for name in ("9-0", "9-1", "98-0", "7-0"):
         (inbox / name).write_bytes(name.encode())
-    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9,98").option("inbox", str(inbox)).load()
-    query = live.writeStream.format("memory").queryName("live").start()
+    query = slots(spark, inbox).writeStream.format("memory").queryName("live").option("checkpointLocation", str(tmp_path / "c")).start()
     query.processAllAvailable()
     (inbox / "9-2").write_bytes(b"9-2")
     query.processAllAvailable()
     query.stop()
     assert sorted(bytes(r["payload"]) for r in spark.table("live").collect()) == [b"9-0", b"9-1", b"9-2", b"98-0"]
-    live = spark.readStream.format("slot_stream").option("transport", "tests.transport:poll").option("slots", "9").option("inbox", str(inbox)).load()
-    query = live.select("payload").writeStream.format("payload_files").option("path", str(out)).option("checkpointLocation", str(tmp_path / "c")).start()
-    drained(query)
-    raw = b"".join((out / f).read_bytes() for f in sorted(os.listdir(out)) if f.endswith(".bin"))
-    assert sorted((raw[i + 4 : i + 7]) for i in range(0, len(raw), 7)) == [b"9-0", b"9-1", b"9-2"]
+
+
+def test_published_once_over_a_restart(spark, tmp_path):
+    """What comes while the service is down is told after it, and nothing twice."""
+    inbox, out, check = tmp_path / "inbox", str(tmp_path / "out"), str(tmp_path / "c")
+    inbox.mkdir()
+    for i in range(6):
+        (inbox / f"9-{i}").write_bytes(protobuf.encoder()({"timestamp": i, "enforcer": {"ctip": {"sidechain_number": 9, "ctip": None}}}))
+        if i % 3 == 2:
+            events = protobuf.decode(slots(spark, inbox, "9")).select("arrival_seq", "event")
+            query = pipeline.publish(events, out, check)
+            pipeline.flush(query, 120)
+            query.stop()
+    told = protobuf.decode(spark.read.parquet(out)).select("arrival_seq", F.col("event.timestamp").cast("int").alias("t")).collect()
+    assert sorted(map(tuple, told)) == [(i, i) for i in range(6)]
+
+
+def test_transport_deadline_and_retries(tmp_path):
+    for i in range(3):
+        (tmp_path / f"9-{i}").write_bytes(b"%d" % i)
+    options = {"slots": "9", "inbox": str(tmp_path), "timeoutSeconds": "1", "retrySeconds": "0"}
+    reader = source.SlotStreamReader({**options, "transport": "tests.transport:unsteady"})
+    assert reader.latestOffset() == {"9": 2}
+    broken["left"] = 2
+    (part,) = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert [p for _, p, _ in reader.read(part)] == [0, 1, 2]
+    broken["left"] = 9
+    with pytest.raises(ConnectionError):
+        list(source.SlotStreamReader({**options, "transport": "tests.transport:unsteady", "retries": "1"}).read(part))
+    broken["left"] = 0
+    with pytest.raises(TimeoutError):
+        list(source.SlotStreamReader({**options, "transport": "tests.transport:slow"}).read(part))
+    assert reader.partitions({"9": 2}, {"9": 2}) == []
 
 
 def test_options():
     for bad in ("9,9", "256", "x"):
         with pytest.raises(ValueError):
-            source.SlotStreamReader({"transport": "tests.transport:poll", "slots": bad})
+            source.SlotStreamReader({"transport": "tests.transport", "slots": bad})
     with pytest.raises(ValueError):
-        source.SlotStreamReader({"transport": "tests.transport:poll", "slots": "9", "timeoutSeconds": "0"})
+        source.SlotStreamReader({"transport": "tests.transport", "slots": "9", "timeoutSeconds": "0"})

@@ -3,6 +3,8 @@
 Delivery order inside a micro-batch is not Spark's to keep, so every row carries ``arrival_seq`` and stateful steps sort by it.
 """
 
+import threading
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -77,24 +79,60 @@ def counts_by_window(events: DataFrame, event_time: str, delay: str, width: str)
 def snapshot_then_live(spark: SparkSession, snapshot: Callable[[], DataFrame], live: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Start the stream, take the snapshot, and hand both to ``sink``: the stream's place is fixed before the snapshot is read.
 
-    What happens between the two is told twice rather than not at all; ``sink`` gets the snapshot as batch -1 before any live
-    batch, and the stream resumes from its checkpoint after a failure.
+    The snapshot goes to ``sink`` as batch -1 right away, whether or not anything live comes; live batches wait for it. What happens between the two is
+    told twice rather than not at all. A snapshot that cannot be taken or handed over stops the stream and is raised. The stream resumes from
+    its checkpoint after a failure.
     """
-    ready: list[bool] = []
+    told, lost = threading.Event(), threading.Event()
 
     def forward(batch: DataFrame, number: int) -> None:
-        if not ready:
-            sink(snapshot(), -1)
-            ready.append(True)
+        told.wait()
+        if lost.is_set():
+            raise RuntimeError("there is no snapshot")
         sink(batch, number)
 
-    return live.writeStream.foreachBatch(forward).option("checkpointLocation", checkpoint).start()
+    query = live.writeStream.foreachBatch(forward).option("checkpointLocation", checkpoint).start()
+    try:
+        sink(snapshot(), -1)
+    except BaseException:
+        lost.set()
+        told.set()
+        query.stop()
+        raise
+    told.set()
+    return query
+
+
+def publish(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write each event's wire bytes to a folder of any file system that Spark knows; a batch is there as a whole or not at all."""
+    return protobuf.encode(events).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).start()
+
+
+def flush(query: StreamingQuery, seconds: float) -> None:
+    """Wait until all that has come so far is written; TimeoutError if that takes longer, the query's own error if it fails."""
+    failed: list[BaseException] = []
+
+    def wait() -> None:
+        try:
+            query.processAllAvailable()
+        except BaseException as e:  # noqa: BLE001 - it is raised again below
+            failed.append(e)
+
+    thread = threading.Thread(target=wait, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if thread.is_alive():
+        raise TimeoutError(f"not flushed within {seconds} s")
+    if failed:
+        raise failed[0]
 
 
 def supervise(spark: SparkSession, queries: list[StreamingQuery], seconds: float | None = None) -> None:
-    """Wait until a query ends; the first failure stops the others and is raised. An ended live stream is a failure as well."""
+    """Wait until one of the queries ends, or for some seconds; then all are stopped. A failure is raised, and an ended live stream is one as well."""
+    end = None if seconds is None else time.monotonic() + seconds
     try:
-        spark.streams.awaitAnyTermination(seconds) if seconds else spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries) and (end is None or time.monotonic() < end):
+            time.sleep(0.2)
         failed = [q.exception() for q in queries if q.exception()]
         if failed:
             raise failed[0]

@@ -1,21 +1,28 @@
-"""A live subscription per slot as a streaming source, and a payload sink, on Spark's Python data source API.
+"""A live subscription per slot as a streaming source, and single answers as a batch source, on Spark's Python data source API.
 
-The transport is a function that a deployment provides: ``module:function`` called with (slot, last position, timeout seconds,
-options of the source), which returns an iterable of (position, payload bytes) after that position. The engine brings no network
-client; addresses and credentials are the transport's and reach it as options.
+The engine brings no network client. A deployment provides a module of transport functions, named by the option ``transport``
+(``module``, or ``module:function`` for another name of ``poll``); addresses and credentials are the transport's and reach it as options.
+
+* ``poll(slot, after, timeout, options)``: an iterable of (position, payload bytes) after a position, in order;
+* ``head(slot, timeout, options)``: the last position of a slot, -1 if there is none yet;
+* ``answer(request, timeout, options)``: the JSON text of the answer to a request, or None.
+
+Each slot and each request is a partition, read on an executor. A call that fails with a connection error is made again, from the last
+position on; one that takes longer than ``timeoutSeconds`` is an error whatever the transport does about it.
 """
 
 import importlib
-import os
+import threading
 import time
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceStreamWriter, SimpleDataSourceStreamReader, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "slot int, arrival_seq bigint, payload binary"
+ANSWERS = "request string, answer string"
 
 
-def _slots(text: str) -> list[int]:
+def slots_of(text: str) -> list[int]:
     """Distinct slots of a comma-separated list, each from 0 to 255."""
     slots = [int(s) for s in text.split(",")]
     if len(set(slots)) < len(slots) or not all(0 <= s <= 255 for s in slots):
@@ -23,41 +30,103 @@ def _slots(text: str) -> list[int]:
     return slots
 
 
-class SlotStreamReader(SimpleDataSourceStreamReader):
-    """Polls the transport slot by slot; the offset is the last position of each slot, so a restart leaves no gap."""
+class Transport:
+    """The functions of a transport module, with deadline and retries."""
 
     def __init__(self, options: dict[str, str]):
-        module, _, name = options["transport"].partition(":")
-        self.poll = getattr(importlib.import_module(module), name)
-        self.options = dict(options)
-        self.slots = _slots(options["slots"])
+        module, _, self.poll_name = options["transport"].partition(":")
+        self.module, self.options = module, dict(options)
         self.timeout = float(options.get("timeoutSeconds", "10"))
+        self.retries, self.pause = int(options.get("retries", "3")), float(options.get("retrySeconds", "0.2"))
         if self.timeout < 1:
             raise ValueError("timeoutSeconds must be at least 1")
 
+    def _function(self, name: str):
+        return getattr(importlib.import_module(self.module), name)
+
+    def _again(self, call):
+        for left in range(self.retries, -1, -1):
+            try:
+                return call()
+            except (ConnectionError, EOFError):
+                if not left:
+                    raise
+                time.sleep(self.pause)
+
+    def bounded(self, call):
+        """The result of a call, or TimeoutError after the deadline; a call that hangs is left to its own thread."""
+        box: list = []
+
+        def run() -> None:
+            try:
+                box.append((call(), None))
+            except BaseException as e:  # noqa: BLE001 - it is raised again where the caller waits
+                box.append((None, e))
+
+        thread = threading.Thread(target=run, daemon=True)
+        thread.start()
+        thread.join(self.timeout)
+        if not box:
+            raise TimeoutError(f"no answer within {self.timeout} s")
+        value, error = box[0]
+        if error is not None:
+            raise error
+        return value
+
+    def head(self, slot: int) -> int:
+        return self._again(lambda: self.bounded(lambda: int(self._function("head")(slot, self.timeout, self.options))))
+
+    def answer(self, request: str) -> str | None:
+        return self._again(lambda: self.bounded(lambda: self._function("answer")(request, self.timeout, self.options)))
+
+    def poll(self, slot: int, after: int, last: int) -> Iterator[tuple[int, int, bytes]]:
+        """(slot, position, payload) after ``after`` up to ``last``; the stream has no deadline, but each of its steps has."""
+        at, left = after, self.retries
+        while at < last:
+            try:
+                steps = iter(self._function(self.poll_name or "poll")(slot, at, self.timeout, self.options))
+                while (step := self.bounded(lambda: next(steps, None))) is not None:
+                    position, payload = step
+                    if position > last:
+                        return
+                    if position > at:
+                        at = position
+                        yield slot, position, payload
+                return
+            except (ConnectionError, EOFError):
+                if not left:
+                    raise
+                left -= 1
+                time.sleep(self.pause)
+
+
+class SlotPart(InputPartition):
+    def __init__(self, slot: int, after: int, last: int):
+        self.slot, self.after, self.last = slot, after, last
+
+
+class SlotStreamReader(DataSourceStreamReader):
+    """The offset is the last position of each slot, so a restart leaves no gap. Only positions come to the driver."""
+
+    def __init__(self, options: dict[str, str]):
+        self.transport = Transport(options)
+        self.slots = slots_of(options["slots"])
+
     def initialOffset(self) -> dict:
         return {str(s): -1 for s in self.slots}
 
-    def _rows(self, start: dict, end: dict | None) -> Iterator[tuple]:
-        for s in self.slots:
-            for position, payload in self.poll(s, start[str(s)], self.timeout, self.options):
-                if end is not None and position > end[str(s)]:
-                    break
-                yield s, position, payload
+    def latestOffset(self) -> dict:
+        return {str(s): self.transport.head(s) for s in self.slots}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = list(self._rows(start, None))
-        end = dict(start)
-        for s, position, _ in rows:
-            end[str(s)] = max(end[str(s)], position)
-        return iter(rows), end
+    def partitions(self, start: dict, end: dict) -> list[SlotPart]:
+        return [SlotPart(s, start.get(str(s), -1), end[str(s)]) for s in self.slots if end[str(s)] > start.get(str(s), -1)]
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return self._rows(start, end)
+    def read(self, partition: SlotPart) -> Iterator[tuple]:
+        return self.transport.poll(partition.slot, partition.after, partition.last)
 
 
 class SlotStream(DataSource):
-    """``spark.readStream.format("slot_stream").option("transport", "module:function").option("slots", "9,98")``"""
+    """``spark.readStream.format("slot_stream").option("transport", "module").option("slots", "9,98")``"""
 
     @classmethod
     def name(cls) -> str:
@@ -66,55 +135,42 @@ class SlotStream(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def simpleStreamReader(self, schema) -> SlotStreamReader:
+    def streamReader(self, schema) -> SlotStreamReader:
         return SlotStreamReader(self.options)
 
 
-class _Written(WriterCommitMessage):
-    def __init__(self, path: str, count: int):
-        self.path, self.count = path, count
+class RequestPart(InputPartition):
+    def __init__(self, request: str):
+        self.request = request
 
 
-class PayloadWriter(DataSourceStreamWriter):
-    """One length-prefixed file per task; a batch's files get their final names when all of its tasks are done."""
-
+class AnswerReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.folder = options["path"]
-
-    def write(self, rows: Iterator) -> _Written:
-        os.makedirs(self.folder, exist_ok=True)
-        path, count = f"{self.folder}/.{time.time_ns()}-{os.getpid()}", 0
-        with open(path, "wb") as out:
-            for row in rows:
-                out.write(len(row.payload).to_bytes(4, "big") + row.payload)
-                count += 1
-            out.flush()
-            os.fsync(out.fileno())
-        return _Written(path, count)
+        self.transport = Transport(options)
+        self.requests = [r for r in options["requests"].split(",") if r]
 
-    def commit(self, messages: list, batchId: int) -> None:
-        for i, m in enumerate(messages):
-            if m is not None:
-                os.replace(m.path, f"{self.folder}/{batchId:09d}-{i:05d}.bin")
+    def partitions(self) -> list[RequestPart]:
+        return [RequestPart(r) for r in self.requests]
 
-    def abort(self, messages: list, batchId: int) -> None:
-        for m in messages:
-            if m is not None and os.path.exists(m.path):
-                os.unlink(m.path)
+    def read(self, partition: RequestPart) -> Iterator[tuple]:
+        yield partition.request, self.transport.answer(partition.request)
 
 
-class PayloadSink(DataSource):
-    """``df.writeStream.format("payload_files").option("path", ...)``: rows with a column payload."""
+class Answers(DataSource):
+    """``spark.read.format("answers").option("transport", "module").option("requests", "chain_info,chain_tip,ctip/9")``: one row per request."""
 
     @classmethod
     def name(cls) -> str:
-        return "payload_files"
+        return "answers"
+
+    def schema(self) -> str:
+        return ANSWERS
 
-    def streamWriter(self, schema, overwrite: bool) -> PayloadWriter:
-        return PayloadWriter(self.options)
+    def reader(self, schema) -> AnswerReader:
+        return AnswerReader(self.options)
 
 
 def register(spark) -> None:
     """Make both known to a session."""
     spark.dataSource.register(SlotStream)
-    spark.dataSource.register(PayloadSink)
+    spark.dataSource.register(Answers)

@@ -115,3 +115,34 @@ def test_undelivered_and_agreement(spark):
     ours = table(spark, "height bigint, hash string", [(1, "a"), (2, "b"), (None, "c")])
     assert rows(operations.tip_agreement(ours, table(spark, "height bigint, hash string", [(1, "a"), (1, "a"), (2, "x"), (None, "c")]))) == [(1, "a")]
     assert rows(operations.with_prefix(ours, "hash", "a", "height")) == [(1,)]
+
+
+def test_what_a_node_tells(spark):
+    text = '{"chain":"main","blocks":5,"x":[1],"initialblockdownload":false}'
+    assert one(spark, text, operations.chain_brief) == '{"chain":"main","blocks":5,"headers":null,"verificationprogress":null,"initialblockdownload":false}'
+    for other in ("[]", "no json", "", None):
+        assert one(spark, other, operations.chain_brief) is None
+    assert one(spark, '[{"addr":"a","id":1},{}]', operations.peer_briefs).count('"addr"') == 2 and one(spark, "[]", operations.peer_briefs) == "[]"
+    on = lambda v: one(spark, v, lambda c: operations.subscriptions_on(c, "a.b"))
+    assert on('{"subscriptions_list":[{"subject":"a.b","msgs":1},{"subject":"a.bc"},{"subject":null}]}') == '[{"account":null,"subject":"a.b","msgs":1}]'
+    assert on("{}") is None and on(None) is None
+
+
+def test_wait_until():
+    answers = iter([False, ValueError("not yet"), True])
+
+    def check():
+        a = next(answers)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    assert operations.wait_until(check, 5, 0.01)
+    assert not operations.wait_until(lambda: False, 0.05, 0.02)
+    with pytest.raises(ZeroDivisionError):
+        operations.wait_until(lambda: 1 / 0, 0.05, 0.02)
+
+
+def test_saturating_total(spark):
+    got = contract.running_invalid(table(spark, "seq bigint, bad boolean", [(i, True) for i in range(4)]), "seq", F.col("bad"), carried=2**64 - 3)
+    assert sorted(int(r["invalid_total"]) for r in got.collect()) == [2**64 - 2] + [2**64 - 1] * 3

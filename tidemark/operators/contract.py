@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunked
+from tidemark.operators.operations import saturating_add
+from tidemark.sources.scratch import Scratch
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -53,10 +55,14 @@ def tips_agree(before: Column, at: Column, after: Column) -> Column:
     return F.coalesce((before == at) & (at == after), F.lit(False))
 
 
-def running_invalid(events: DataFrame, order: str, invalid: Column, per_chunk: int = 100_000) -> DataFrame:
-    """``events`` with ``invalid_total``: how many were invalid up to each, in ``order`` (a bigint, no nulls)."""
+def running_invalid(events: DataFrame, order: str, invalid: Column, per_chunk: int = 100_000, carried: int | None = None) -> DataFrame:
+    """``events`` with ``invalid_total``: how many were invalid up to each, in ``order`` (a bigint, no nulls).
+
+    ``carried``: what an unsigned 64-bit counter stood at before; the total is a decimal then and stays at the counter's greatest number.
+    """
     rows = events.withColumn("__chunk", F.floor(F.col(order) / per_chunk))
-    return chunked.running_sum(rows, "__chunk", [order], invalid.cast("long"), "invalid_total").drop("__chunk")
+    out = chunked.running_sum(rows, "__chunk", [order], invalid.cast("long"), "invalid_total").drop("__chunk")
+    return out if carried is None else out.withColumn("invalid_total", saturating_add(F.lit(str(carried)).cast("decimal(20,0)"), F.col("invalid_total")).cast("decimal(20,0)"))
 
 
 def fan_out(blocks: DataFrame, slots: list[int]) -> DataFrame:
@@ -66,20 +72,20 @@ def fan_out(blocks: DataFrame, slots: list[int]) -> DataFrame:
     return blocks.select(*blocks.columns, F.explode(F.array(*[F.lit(s).cast("long") for s in slots])).alias("slot"))
 
 
-def ancestors(links: DataFrame, start: list[str], most: int) -> DataFrame:
+def ancestors(links: DataFrame, start: DataFrame | list[str], most: int) -> DataFrame:
     """(start, hash, distance): each start block and up to ``most`` ancestors, newest first by distance; none if it is unknown.
 
-    ``links``: (hash, previous_hash), one row per hash. The walk keeps one row per start and step, so it is as small as its result.
+    ``links``: (hash, previous_hash), one row per hash; written once, then joined with the walk's front in each step. ``start``: hashes, or a
+    table whose first column holds them. The front keeps one row per start, and nothing comes to the driver.
     """
     spark = links.sparkSession
-    known = links.select(F.col("hash").alias("__h"), F.col("previous_hash").alias("__p"))
-    here = spark.createDataFrame([(s, s) for s in dict.fromkeys(start)], "start string, hash string")
-    out = None
+    box = Scratch(spark, "ancestors")
+    known = box.table(links.select(F.col("hash").alias("__h"), F.col("previous_hash").alias("__p")), "links")
+    first = spark.createDataFrame([(s,) for s in dict.fromkeys(start)], "start string") if isinstance(start, list) else start.toDF("start").distinct()
+    front, out = first.select("start", F.col("start").alias("hash")), None
     for step in range(most + 1):
-        found = here.join(known, F.col("hash") == F.col("__h")).select("start", "hash", F.lit(step).cast("long").alias("distance"), "__p")
-        found = spark.createDataFrame(found.collect(), found.schema)  # at most one row per start
+        found = front.join(known, F.col("hash") == F.col("__h")).select("start", "hash", F.lit(step).cast("long").alias("distance"), "__p")
+        found = box.table(found, f"step{step}")
         out = found if out is None else out.unionByName(found)
-        here = found.where("__p is not null").select("start", F.col("__p").alias("hash"))
-        if found.isEmpty():
-            break
+        front = found.where("__p is not null").select("start", F.col("__p").alias("hash"))
     return out.drop("__p")

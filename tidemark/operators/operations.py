@@ -1,5 +1,8 @@
 """Questions an operator asks of nodes, logs and configurations, as predicates and small queries."""
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,49 @@ def with_prefix(df: DataFrame, name: str, prefix: str, *columns: str) -> DataFra
     return df.where(F.col(name).startswith(prefix)).select(*columns)
 
 
+CHAIN = "struct<chain:string,blocks:bigint,headers:bigint,verificationprogress:double,initialblockdownload:boolean>"
+PEERS = "array<struct<addr:string,inbound:boolean,startingheight:bigint,synced_headers:bigint,synced_blocks:bigint>>"
+SUBSCRIPTIONS = "struct<subscriptions_list:array<struct<account:string,subject:string,msgs:bigint>>>"
+
+
+def _json(c: Column) -> Column:
+    return F.to_json(c, {"ignoreNullFields": "false"})
+
+
+def chain_brief(text: Column) -> Column:
+    """What is told of a chain, without the rest, as JSON; null for what is no JSON object."""
+    told = F.from_json(text, CHAIN)
+    return F.when(told.isNotNull() & text.rlike(r"\A\s*\{"), _json(told))
+
+
+def peer_briefs(text: Column) -> Column:
+    """The same of each peer, in their order; null for what is no JSON array."""
+    return _json(F.from_json(text, PEERS))
+
+
+def subscriptions_on(text: Column, subject: str) -> Column:
+    """The subscriptions on exactly this subject, as JSON; null where no list is told."""
+    return _json(F.filter(F.from_json(text, SUBSCRIPTIONS)["subscriptions_list"], lambda s: s["subject"] == subject))
+
+
+def wait_until(check: Callable[[], bool], seconds: float, pause: float = 1.0) -> bool:
+    """Ask again and again until the answer is yes (true) or the time is over (false). An answer that fails counts as no, but the last failure is
+    raised if none came before the end. At least one question is asked."""
+    end = time.monotonic() + seconds
+    while True:
+        error: Exception | None = None
+        try:
+            if check():
+                return True
+        except Exception as e:  # noqa: BLE001 - what is waited for may not be there yet
+            error = e
+        if time.monotonic() + pause > end:
+            if error is not None:
+                raise error
+            return False
+        time.sleep(pause)
+
+
 def any_named(items: Column, field: str, wanted: str) -> Column:
     """Whether some element of an array of structs has the value; false for a null array."""
     return F.coalesce(F.exists(items, lambda x: F.coalesce(x[field] == wanted, F.lit(False))), F.lit(False))
@@ -85,9 +131,10 @@ def key_overlap(own: DataFrame, locked: DataFrame, key: str) -> DataFrame:
     return own.select(key).distinct().join(locked.select(key), key, "left_semi")
 
 
-def payload_matches(payload: Column, size: int, digest: str) -> Column:
+def payload_matches(payload: Column, size: int, digest: str | Column) -> Column:
     """Size first, then SHA-256."""
-    return F.coalesce((F.octet_length(payload) == size) & (F.sha2(payload, 256) == digest.lower()), F.lit(False))
+    wanted = F.lit(digest.lower()) if isinstance(digest, str) else F.lower(digest)
+    return F.coalesce((F.octet_length(payload) == size) & (F.sha2(payload, 256) == wanted), F.lit(False))
 
 
 def saturating_add(number: Column, more: Column, most: int = 2**64 - 1) -> Column:

@@ -13,6 +13,8 @@ from tidemark.sources import protobuf
 
 SLOTS = [9, 98]
 ANCESTORS = 10
+LEAST_HEIGHT = 50_000
+SUBJECT = "feed.blocks.2"
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,11 +43,13 @@ def payload_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def decode_permissive(spark: SparkSession, folder: str) -> DataFrame:
-    """Payloads of which those of unreadable events are broken: what decodes, and the length of what doesn't."""
-    wire = protobuf.encode(events(spark, folder).select("arrival_seq", "event"))
-    broken = wire.select("arrival_seq", F.coalesce("payload", F.unhex(F.lit("ff00"))).alias("payload"))
-    told = protobuf.decode(broken)
-    return told.select("arrival_seq", F.col("decode_error").isNull().alias("decoded"), F.when(F.col("decode_error").isNotNull(), F.col("payload_len")).alias("bad_length"))
+    """Payloads of which those of unreadable events are broken and those of slot 9 cut by their last byte: what decodes, how long broken ones are, and how much the cut ones lack."""
+    wire = protobuf.encode(events(spark, folder).select("arrival_seq", "slot", "event"))
+    size = F.octet_length("payload")
+    sent = F.coalesce(F.when(F.col("slot") == 9, F.substring("payload", F.lit(1), size - 1)).otherwise(F.col("payload")), F.unhex(F.lit("ff00")))
+    told = protobuf.decode(wire.select("arrival_seq", size.cast("bigint").alias("size"), sent.alias("payload")))
+    bad = F.col("decode_error").isNotNull()
+    return told.select("arrival_seq", (~bad).alias("decoded"), F.when(bad & F.col("size").isNull(), F.col("payload_len")).alias("bad_length"), F.when(bad, F.col("size") - F.col("payload_len")).alias("lacking"))
 
 
 def observation_ms(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,6 +175,30 @@ def prefix_filter(spark: SparkSession, folder: str) -> DataFrame:
     return operations.with_prefix(read(spark, folder, "courts"), "court_name", "R", "court_code", "court_name")
 
 
+def _told(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def chain_brief(spark: SparkSession, folder: str) -> DataFrame:
+    """A node's answer about its chain, made of a snapshot's counts, without what is not asked for."""
+    text = _told('{"pruned":true,"chain":"main","blocks":', F.col("tip_height"), ',"headers":', F.col("tip_height") + F.col("ctip_count"), ',"initialblockdownload":', F.col("ctip_count") > 4, ',"warnings":[]}')
+    return read(spark, folder, "snapshot_runs").select("snapshot_id", operations.chain_brief(F.when(F.col("proposal_count") > 1, text).otherwise("[1]")).alias("brief"))
+
+
+def peer_briefs(spark: SparkSession, folder: str) -> DataFrame:
+    """A node's answer about its peers, likewise."""
+    one = lambda n: _told('{"id":7,"addr":"10.0.0.', F.col(n), '","inbound":true,"synced_blocks":', F.col("tip_height"), "}")
+    text = F.when(F.col("ctip_count") > 4, _told("[", one("ctip_count"), ",", one("proposal_count"), "]")).otherwise("[]")
+    return read(spark, folder, "snapshot_runs").select("snapshot_id", operations.peer_briefs(text).alias("peers"))
+
+
+def subscriptions_on(spark: SparkSession, folder: str) -> DataFrame:
+    """The subscriptions on one subject among those that a bus tells."""
+    one = lambda n: _told('{"sid":"3","account":"A","subject":"feed.blocks.', F.col(n), '","msgs":', F.col("tip_height"), "}")
+    text = _told('{"subscriptions_list":[', one("proposal_count"), ",", one("sidechain_count"), "]}")
+    return read(spark, folder, "snapshot_runs").select("snapshot_id", operations.subscriptions_on(text, SUBJECT).alias("told"))
+
+
 def subject_filter(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "enforcer_feed").where("kind = 'block_disconnected'").select("arrival_seq", "deploy_id")
 
@@ -182,9 +210,10 @@ def nested_exists(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def node_ready(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots taken from a node that had come far enough and whose tip stood still."""
+    """Snapshots taken from a node of the right chain that had come far enough, had the pinned block and whose tip stood still; counts stand for what a node tells."""
     tip, before = block_hash(F.col("tip_hash")), block_hash(F.col("tip_before"))
-    ready = operations.node_ready(F.lit("main"), F.col("tip_height"), F.col("tip_height"), tip != before, F.lit("pin"), 100_000, "main", "pin")
+    chain, pinned = F.when(F.col("ctip_count") > 4, "main").otherwise("test"), F.when(F.col("sidechain_count") > 2, "pin")
+    ready = operations.node_ready(chain, F.col("tip_height"), F.col("tip_height") + F.col("proposal_count") - 3, tip != before, pinned, LEAST_HEIGHT, "main", "pin")
     return read(spark, folder, "snapshot_runs").select("snapshot_id", ready.alias("ready"))
 
 
@@ -237,14 +266,17 @@ def new_tip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_verify(spark: SparkSession, folder: str) -> DataFrame:
-    """Size and SHA-256 of the bytes of each valid hash."""
+    """Size and SHA-256 of the bytes of each valid hash, and whether they are those stated (wrongly where there is no height)."""
     raw = F.unhex(block_hash(F.col("hash")))
-    return read(spark, folder, "block_headers").where(raw.isNotNull()).select("header_row_id", F.octet_length(raw).cast("bigint").alias("size"), F.sha2(raw, 256).alias("digest"))
+    stated = F.when(F.col("height").isNull(), "00").otherwise(F.sha2(raw, 256))
+    rows = read(spark, folder, "block_headers").where(raw.isNotNull())
+    return rows.select("header_row_id", F.octet_length(raw).cast("bigint").alias("size"), F.sha2(raw, 256).alias("digest"), operations.payload_matches(raw, 32, stated).alias("matches"))
 
 
 def received_any(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether each deployment's stream told any connected block."""
-    return read(spark, folder, "enforcer_feed").groupBy("deploy_id").agg(F.bool_or(F.col("kind") == "block_connected").alias("received"))
+    """Whether each deployment's stream of a slot told any disconnected block."""
+    slot = F.coalesce("block_connected.sidechain_number", "block_disconnected.sidechain_number", "ctip.sidechain_number").alias("slot")
+    return read(spark, folder, "enforcer_feed").groupBy("deploy_id", slot).agg(F.bool_or(F.col("kind") == "block_disconnected").alias("received"))
 
 
 def block_ancestors(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,8 +284,8 @@ def block_ancestors(spark: SparkSession, folder: str) -> DataFrame:
     valid: Column = block_hash(F.col("hash"))
     rows = read(spark, folder, "block_headers").select(valid.alias("hash"), block_hash(F.col("previous_hash")).alias("previous_hash"), "header_row_id").where("hash is not null")
     links = rows.groupBy("hash").agg(F.min("previous_hash").alias("previous_hash"))
-    start = rows.agg(F.max_by("hash", "header_row_id").alias("hash")).first()["hash"]
-    return contract.ancestors(links, [start], ANCESTORS).select("hash", "distance")
+    start = rows.agg(F.max_by("hash", "header_row_id").alias("hash"))
+    return contract.ancestors(links, start, ANCESTORS).select("hash", "distance")
 
 
 QUERIES = {
@@ -261,7 +293,7 @@ QUERIES = {
     for f in (
         normalize_feed, render_summary, render_json, payload_round_trip, decode_permissive, observation_ms, network_codes, block_counts, nested_deposit_totals, dedupe_idempotent,
         canonical_blocks, latest_snapshot, ctip_presence, distinct_blocks, kind_dispatch, tip_consistency, invalid_running_count, slot_fanout, snapshot_batch, history_ready,
-        history_summary, prefix_filter, subject_filter, nested_exists, node_ready, tip_agreement, log_match, undelivered, slot_parse, positive_guard, key_overlap, new_tip,
+        history_summary, prefix_filter, chain_brief, peer_briefs, subscriptions_on, subject_filter, nested_exists, node_ready, tip_agreement, log_match, undelivered, slot_parse, positive_guard, key_overlap, new_tip,
         payload_verify, received_any, block_ancestors,
     )
 }

@@ -1,7 +1,7 @@
 """The queries of the event contract and of operations as SQL for DuckDB."""
 
 from tidemark.queries.feed_sql import _MESSAGES, _hash
-from tidemark.queries.monitor import ANCESTORS, SLOTS
+from tidemark.queries.monitor import ANCESTORS, LEAST_HEIGHT, SLOTS, SUBJECT
 
 
 def _bad(c: str, field: str, size: int | None = 32) -> str:
@@ -80,7 +80,9 @@ SQL = {
     "render_summary": f"with {_TOLD} {_SUMMARY}",
     "render_json": f"with {_TOLD} {_JSON}",
     "payload_round_trip": f"with {_TOLD} {_SUMMARY}",
-    "decode_permissive": f"with {_TOLD} select arrival_seq, error is null as decoded, case when error is not null then cast(2 as bigint) end as bad_length from told",
+    "decode_permissive": f"""with {_TOLD} select arrival_seq, error is null and slot is distinct from 9 as decoded, case when error is not null then cast(2 as bigint) end as bad_length,
+        case when error is null and slot = 9 then cast(1 as bigint) end as lacking
+        from (select *, coalesce(block_connected.sidechain_number, block_disconnected.sidechain_number, ctip.sidechain_number) as slot from told)""",
     "observation_ms": "select arrival_seq, epoch_us(arrival_ts) // 1000 as observed_ms from enforcer_feed",
     "network_codes": "select o_orderkey, cast(case when length(o_orderpriority) - 6 between 0 and 5 then length(o_orderpriority) - 6 else 1 end as bigint) as network from orders",
     "block_counts": """select arrival_seq, cast(len(list_filter(block_connected.events, lambda e: e.deposit is not null)) as bigint) as deposits,
@@ -123,9 +125,15 @@ SQL = {
           case when event_type in ('click', 'view') then k when event_type = 'purchase' then user_id end as active_blocks,
           cast(case when event_type = 'purchase' then user_id - k else 0 end as bigint) as remaining_blocks from states""",
     "prefix_filter": "select court_code, court_name from courts where starts_with(court_name, 'R')",
+    "chain_brief": """select snapshot_id, case when proposal_count > 1 then '{"chain":"main","blocks":' || tip_height || ',"headers":' || (tip_height + ctip_count)
+        || ',"verificationprogress":null,"initialblockdownload":' || (ctip_count > 4) || '}' end as brief from snapshot_runs""",
+    "peer_briefs": """select snapshot_id, case when ctip_count > 4 then '[' || array_to_string(list_transform([ctip_count, proposal_count],
+        lambda n: '{"addr":"10.0.0.' || n || '","inbound":true,"startingheight":null,"synced_headers":null,"synced_blocks":' || tip_height || '}'), ',') || ']' else '[]' end as peers from snapshot_runs""",
+    "subscriptions_on": f"""select snapshot_id, '[' || array_to_string(list_transform(list_filter([proposal_count, sidechain_count], lambda n: 'feed.blocks.' || n = '{SUBJECT}'),
+        lambda n: '{{"account":"A","subject":"{SUBJECT}","msgs":' || tip_height || '}}'), ',') || ']' as told from snapshot_runs""",
     "subject_filter": "select arrival_seq, deploy_id from enforcer_feed where kind = 'block_disconnected'",
     "nested_exists": "select arrival_seq from enforcer_feed where len(list_filter(block_connected.events, lambda e: e.withdrawal.state = 'failed')) > 0",
-    "node_ready": f"select snapshot_id, coalesce(tip_height >= 100000 and not ({_hash('tip_hash')} <> {_hash('tip_before')}), false) as ready from snapshot_runs",
+    "node_ready": f"select snapshot_id, coalesce(ctip_count > 4 and tip_height >= {LEAST_HEIGHT} and tip_height + proposal_count - 3 >= {LEAST_HEIGHT} and not ({_hash('tip_hash')} <> {_hash('tip_before')}) and sidechain_count > 2, false) as ready from snapshot_runs",
     "tip_agreement": f"""select snapshot_id, tip_height as height, {_hash("tip_hash")} as hash from snapshot_runs
         where exists (select 1 from block_headers b where b.height = tip_height and {_hash("b.hash")} = {_hash("tip_hash")})""",
     "log_match": f"""with {_MESSAGES}, {_BLOCKS}, lines as (
@@ -140,8 +148,9 @@ SQL = {
     "key_overlap": """with names as (select regexp_replace(upper(n_name), '[^A-Z0-9]', '_', 'g') as name, n_regionkey from nation)
         select distinct name from names where n_regionkey < 2 and regexp_full_match(name, '[A-Z][A-Z0-9_]*')""",
     "new_tip": f"select snapshot_id, {_hash('tip_after')} as tip from snapshot_runs where {_hash('tip_before')} <> {_hash('tip_after')}",
-    "payload_verify": f"select header_row_id, cast(32 as bigint) as size, sha256(unhex({_hash('hash')})) as digest from block_headers where {_hash('hash')} is not null",
-    "received_any": "select deploy_id, bool_or(kind = 'block_connected') as received from enforcer_feed group by 1",
+    "payload_verify": f"select header_row_id, cast(32 as bigint) as size, sha256(unhex({_hash('hash')})) as digest, height is not null as matches from block_headers where {_hash('hash')} is not null",
+    "received_any": """select deploy_id, coalesce(block_connected.sidechain_number, block_disconnected.sidechain_number, ctip.sidechain_number) as slot,
+        bool_or(kind = 'block_disconnected') as received from enforcer_feed group by all""",
     "block_ancestors": f"""with recursive valid as (select {_hash("hash")} as h, {_hash("previous_hash")} as p, header_row_id from block_headers),
         links as (select h, min(p) as p from valid where h is not null group by 1),
         walk as (

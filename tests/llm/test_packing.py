@@ -2,7 +2,6 @@ import random
 from collections import defaultdict
 
 import numpy as np
-import pytest
 
 from tests.helpers import table
 from tidemark.llm import packing
@@ -61,9 +60,17 @@ def test_edges(spark):
     assert check(packed(spark, items, [(1, 10)]), items, [(1, 10)]) == {1: 6}
 
 
-def test_too_many_targets(spark):
-    with pytest.raises(ValueError):
-        packed(spark, [(1, 1)], [(i, 10) for i in range(packing.MOST_TARGETS + 1)])
+def test_many_targets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TARGETS_AT_ONCE", 2)
+    targets = [(i, 10 + i) for i in range(5)]
+    check(packed(spark, [(1, 7), (2, 40), (3, 3)], targets), [(1, 7), (2, 40), (3, 3)], targets)
+
+
+def test_each_target_stops_by_itself(spark):
+    """One target's items don't combine, another's do: the first must not end the rounds of the second."""
+    items = [(i, 6) for i in range(1200)]
+    bins = check(packed(spark, items, [(1, 10), (2, 600)], rows_per_task=300), items, [(1, 10), (2, 600)])
+    assert bins[1] == 1200 and bins[2] <= 12 / 0.99 + 1
 
 
 def test_best_fit_against_a_plain_search():
@@ -94,3 +101,11 @@ def test_whole_documents(spark, data):
             sizes[r["item"]] += r["size"]
     check(rows, list(sizes.items()), targets)
     assert len(sizes) == spark.read.parquet(f"{data}/documents.parquet").count()
+
+
+def test_fill_of_documents(spark, data):
+    """At least 99 % full, but for the container that the last items share."""
+    from tidemark.llm.queries import p8_fill
+
+    rows = p8_fill(spark, data).collect()
+    assert rows and all(r["containers"] <= r["least_containers"] / 0.99 + 1 for r in rows)

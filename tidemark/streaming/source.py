@@ -12,6 +12,7 @@ position on; one that takes longer than ``timeoutSeconds`` is an error whatever
 """
 
 import importlib
+import queue
 import threading
 import time
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 SCHEMA = "slot int, arrival_seq bigint, payload binary"
 ANSWERS = "request string, answer string"
+READ_AHEAD = 1_000
 
 
 def slots_of(text: str) -> list[int]:
@@ -79,14 +81,50 @@ class Transport:
     def answer(self, request: str) -> str | None:
         return self._again(lambda: self.bounded(lambda: self._function("answer")(request, self.timeout, self.options)))
 
+    def _steps(self, slot: int, after: int) -> Iterator[tuple[int, bytes]]:
+        """What the transport's poll gives, read ahead by a thread of its own; TimeoutError if a step takes too long."""
+        box: queue.Queue = queue.Queue(READ_AHEAD)
+        over = threading.Event()
+
+        def put(item) -> bool:
+            while not over.is_set():
+                try:
+                    box.put(item, timeout=0.2)
+                    return True
+                except queue.Full:
+                    continue
+            return False
+
+        def run() -> None:
+            try:
+                for step in self._function(self.poll_name or "poll")(slot, after, self.timeout, self.options):
+                    if not put(step):
+                        return
+                put(None)
+            except BaseException as e:  # noqa: BLE001 - it is raised again where the steps are read
+                put(e)
+
+        threading.Thread(target=run, daemon=True).start()
+        try:
+            while True:
+                try:
+                    step = box.get(timeout=self.timeout)
+                except queue.Empty:
+                    raise TimeoutError(f"no payload within {self.timeout} s") from None
+                if step is None:
+                    return
+                if isinstance(step, BaseException):
+                    raise step
+                yield step
+        finally:
+            over.set()
+
     def poll(self, slot: int, after: int, last: int) -> Iterator[tuple[int, int, bytes]]:
         """(slot, position, payload) after ``after`` up to ``last``; the stream has no deadline, but each of its steps has."""
         at, left = after, self.retries
         while at < last:
             try:
-                steps = iter(self._function(self.poll_name or "poll")(slot, at, self.timeout, self.options))
-                while (step := self.bounded(lambda: next(steps, None))) is not None:
-                    position, payload = step
+                for position, payload in self._steps(slot, at):
                     if position > last:
                         return
                     if position > at:

@@ -13,15 +13,15 @@ Where the document is silent, or contradicts itself, the corpus is asked: counts
 that do the one and hardly ever the other are abbreviations there, and the rare ends tell which abbreviations can end a
 sentence ("Corp.") and which cannot ("Prof."). Where the corpus knows too little as well, the form of the word decides.
 
-One pass over the texts yields, for each group of some texts, the units that are certain and the pieces between boundaries that are open, the
-different questions that these ask, and counts. Counts are summed by word; the questions are joined with them by word; the answers go
+One pass over the texts yields, for each group of some texts, the pieces between boundaries that are certain or open, the
+different questions that the open ones ask, and counts. Counts are summed by word; the questions are joined with them by word; the answers go
 back to their group, where numbers, not texts, are put together.
 No table of words is collected, bounded or sent to tasks other than by Spark's own check of its size.
 """
 
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -62,8 +62,6 @@ BRACKETS = {
 }
 STOPS = re.compile(f"[{re.escape(TERMINATORS)}]+")
 GREEK_QUESTIONS = ";\u037e"
-MARKS = re.compile("[" + re.escape(TERMINATORS + GREEK_QUESTIONS + "".join(QUOTES) + "".join(BRACKETS)) + "]")
-THAI_MARKS = re.compile(MARKS.pattern + rf"|(?<=[{THAI}])\s+(?=[{THAI}])")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
 THAI_BYTES = (b"\xe0\xb8", b"\xe0\xb9")
 CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿𠀀-𯿿]")
@@ -74,6 +72,9 @@ PLACEHOLDER = re.compile(r"\[\s*(?:…|\.\.\.)\s*\]")
 HIDDEN = re.compile("[\xad\u200b-\u200d\u2060\ufeff]")
 #: a word that begins in lower case and yet may begin a sentence: "e.g.", a brand like "iTally"
 LOWER_START = re.compile(r"[a-z](?:\.[a-z]\.|[a-z]*[A-Z])")
+#: whatever may end a sentence or open a span, but for full stops that plainly end none: at the end of all, inside a word or number, before a comma or lower case
+MARKS = re.compile(f"[{re.escape(TERMINATORS + GREEK_QUESTIONS + ''.join(QUOTES) + ''.join(BRACKETS))}](?<!\\.(?=\\Z|[a-z0-9,;:]| (?!{LOWER_START.pattern})[a-z]))")
+THAI_MARKS = re.compile(MARKS.pattern + rf"|(?<=[{THAI}])\s+(?=[{THAI}])")
 PLAIN_NUMBER = re.compile(r"\d{1,2}")
 ANY_NUMBER = re.compile(r"[\d.,:/\-–]*\d")
 CONTINUES = frozenset(",;:–—-·؛،、，；：%)]}»”")
@@ -86,6 +87,9 @@ BARE = re.compile(f"[{re.escape(OPENERS)}]*([^{re.escape(AFTER_WORD)}]*)")
 LOUD = re.compile(r"[!?؟！？。｡।॥][" + re.escape(CLOSERS) + r"]*\s*(?=(\S))")
 #: a word that ends a sentence and no abbreviation: lower case throughout, and not short
 PLAIN_END = re.compile(r"(?:^|[\s\-–—'’])([^\W\d_A-Z]{4,})[.!?…。।]$")
+#: what may stand between the end of a quotation and its mark, and what it may end with so that more than the mark tells
+BEFORE_QUOTE = "â€ "
+QUOTE_ENDS = frozenset(TERMINATORS + BEFORE_QUOTE)
 READ = frozenset(".,;:" + "".join(CLOSERS) + "!?؟")
 
 
@@ -152,17 +156,35 @@ def is_thai(text: str) -> bool:
     return THAI_BYTES[0] in raw or THAI_BYTES[1] in raw
 
 
-#: tokens come again and again; each of these keeps what it made of the last WORDS_KEPT different ones
+#: tokens come again and again; what was made of them is kept, of WORDS_KEPT different ones at most
 WORDS_KEPT = 200_000
-#: what an abbreviation that may end a sentence does
+#: what an abbreviation that may end a sentence does; TOO_FAR: the token after the stop is not where it was looked for
 NO, YES, UNLESS_DIGITS, IF_STARTER, IF_BRACKET = range(5)
+TOO_FAR = -1, None, None
+#: what stands before a full stop: a word, a single letter, a number that may be one in a list, nothing that can be an abbreviation, letters of a script without full stops
+WORD, LETTER, ORDINAL, OTHER_END, NO_STOP = range(5)
+#: stands after the tokens of a paragraph
+BREAK = "\n"
+
+
+class Kept(dict):
+    """What a function makes of each token, by the token; emptied when it is full."""
+
+    def __init__(self, make: Callable):
+        self.make = make
+
+    def __missing__(self, token):
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        made = self[token] = self.make(token)
+        return made
 
 
 def _clean(word: str) -> str:
     return word if word.isascii() else HIDDEN.sub("", word)
 
 
-@lru_cache(WORDS_KEPT)
+@Kept
 def _bare(token: str) -> str:
     """The word of a token that begins a sentence or follows a stop."""
     return _clean(BARE.match(token)[1]).rstrip(".")
@@ -171,7 +193,7 @@ def _bare(token: str) -> str:
 STOP_END, COMMA_END, LOUD_END = range(3)
 
 
-@lru_cache(WORDS_KEPT)
+@Kept
 def _read_token(token: str) -> tuple[int | None, str]:
     """How a token ends (a full stop, one with a comma after it, ! or ?), and the word before the stop; none where what follows has to tell (numbers, closers, redactions)."""
     last = token[-1]
@@ -181,20 +203,19 @@ def _read_token(token: str) -> tuple[int | None, str]:
     return (LOUD_END if last not in ",;:" and token.rstrip(CLOSERS)[-1:] in STRONG_BLANK else None), ""
 
 
-@lru_cache(WORDS_KEPT)
+@Kept
 def _after(token: str) -> tuple[int, str | None]:
     """How a word goes on after its stop, by the next token: an index into counts, and the word that may begin a sentence there."""
-    first = token[:1]
-    if not first:
+    if token == BREAK:
         return Evidence.END, None
+    first = token[:1]
     if first.islower():
         return (Evidence.OTHER if LOWER_START.match(token) else Evidence.LOWER), None
     if first == ",":
         return Evidence.LOWER, None
-    return (Evidence.DIGIT, None) if first.isdigit() else (Evidence.OTHER, _bare(token))
+    return (Evidence.DIGIT, None) if first.isdigit() else (Evidence.OTHER, _bare[token])
 
 
-@lru_cache(WORDS_KEPT)
 def _last_word(piece: str) -> str:
     """The last word of a stretch before a stop, without what opens before it."""
     if not piece.isalnum() or not piece.isascii():
@@ -202,85 +223,121 @@ def _last_word(piece: str) -> str:
     return piece.lstrip(OPENERS)
 
 
-@lru_cache(WORDS_KEPT)
-def _next(token: str) -> tuple[int | None, str | None]:
-    """What a token after a stop leaves to the word before it: ``Open.then`` (null: nothing, no sentence begins so) and ``Open.starter``."""
-    first = "“" if token.startswith("â€œ") else token[:1]
+@Kept
+def _stop(piece: str) -> tuple[int, str, int]:
+    """What a stretch without a blank before a full stop is, its last word, and the form of that (see ``Open``)."""
+    word, last = _last_word(piece), piece[-1:]
+    if last > "\u08ff" and ("\u0900" <= last <= "\u097f" or "\u0e00" <= last <= "\u0e7f" or CJK.match(last)):
+        return NO_STOP, word, 0
+    if not word[-1:].isalpha():
+        return ORDINAL if word[-1:].isdigit() and PLAIN_NUMBER.fullmatch(word) else OTHER_END, word, 0
+    form = 2 if "�" in word or "Ã" in word else int("." in word and word.replace(".", "").isalpha())
+    return LETTER if len(word) == 1 else WORD, word, form
+
+
+@Kept
+def _next(stretch: str) -> tuple[int | None, str | None, str | None]:
+    """What a stretch without a blank after a stop leaves to the word before it: ``Open.then`` (null: nothing, no sentence begins so), ``Open.starter``, and that in lower case if it isn't."""
+    if not stretch or stretch[0].isspace():
+        return TOO_FAR
+    token = stretch.split()[0]
+    first = "“" if token.startswith("â€œ") else token[0]
     if first in NEVER_STARTS:
-        return None, None
+        return None, None, None
     if first.islower():
-        return (YES if LOWER_START.match(token) else None), None
+        return (YES if LOWER_START.match(token) else None), None, None
     if first.isdigit():
-        return UNLESS_DIGITS, None
+        return UNLESS_DIGITS, None, None
     if first in "([（":
-        return IF_BRACKET, None
-    return (YES, None) if first in OPENERS else (IF_STARTER, _bare(token))
+        return IF_BRACKET, None, None
+    return (YES, None, None) if first in OPENERS else (IF_STARTER, word := _bare[token], small if (small := word.lower()) != word else None)
 
 
-@lru_cache(WORDS_KEPT)
-def pair(before: str, letter: str) -> str:
+@Kept
+def pair(before_and_letter: tuple[str, str]) -> str:
     """What a single letter is known by: the word before it, numbers being alike, and the letter ("w. N", "Col. H")."""
+    before, letter = before_and_letter
     before = _clean(before.lstrip(OPENERS))
     return f"{'#' if before[-1:].isdigit() else before} {letter}"
 
 
 class Evidence:
-    """Counts of how words behave where that is certain."""
+    """Counts of how words behave where that is certain.
+
+    They are kept as lists of words, one for each kind of place, and counted when asked for.
+    """
 
-    #: word before a stop: goes on in lower case or after a comma, goes on with a digit, goes on otherwise, ends a paragraph
-    LOWER, DIGIT, OTHER, END = range(4)
+    #: word before a stop: goes on in lower case or after a comma, goes on with a digit, goes on otherwise, ends a paragraph;
+    #: word that begins a sentence, word in upper case after a full stop
+    LOWER, DIGIT, OTHER, END, START, FOLLOW = range(6)
 
     def __init__(self) -> None:
-        self.before: dict[str, list[int]] = {}
-        self.starts: dict[str, int] = {}
-        self.follows: dict[str, int] = {}
+        self.places: list[list[str]] = [[] for _ in range(6)]
         self.plain: set[str] = set()
-
-    def read(self, p: str) -> None:
-        """Count the words of one paragraph of sentences."""
-        number = NUMBER.match(p)
-        tokens = p[number.end() :].split() if number else p.split()
-        if not tokens:
-            return
+        self._counts: list[Counter[str]] | None = None
+
+    @property
+    def counts(self) -> list[Counter[str]]:
+        """How often each word stands in each kind of place."""
+        if self._counts is None:
+            self._counts = [Counter(p) for p in self.places]
+        return self._counts
+
+    @property
+    def before(self) -> dict[str, list[int]]:
+        """The first four counts by word."""
+        out: dict[str, list[int]] = {}
+        for kind, counts in enumerate(self.counts[:4]):
+            for word, n in counts.items():
+                out.setdefault(word, [0, 0, 0, 0])[kind] = n
+        return out
+
+    @property
+    def starts(self) -> Counter[str]:
+        return self.counts[self.START]
+
+    @property
+    def follows(self) -> Counter[str]:
+        return self.counts[self.FOLLOW]
+
+    def read(self, *parts: str) -> None:
+        """Count the words of paragraphs of sentences."""
+        places, tokens = self.places, []
+        starts, follows = places[self.START], places[self.FOLLOW]
+        for p in parts:
+            number = NUMBER.match(p)
+            words = p[number.end() :].split() if number else p.split()
+            if words:
+                starts.append(_bare[words[0]])
+                tokens += words
+                tokens.append(BREAK)
         self.plain.update(tokens)
-        starts, follows, before = self.starts, self.follows, self.before
-        first = _bare(tokens[0])
-        starts[first] = starts.get(first, 0) + 1
-        hits = [i for i, t in enumerate(tokens) if t[-1] in READ]
-        tokens.append("")
-        for i in hits:
-            how, word = _read_token(tokens[i])
-            if how is None:
+        for i in [i for i, t in enumerate(tokens) if t[-1] in READ]:
+            token = tokens[i]
+            how, word = _read_token[token]
+            if how == STOP_END:
+                kind, name = _after[tokens[i + 1]]
+                if name is not None:
+                    follows.append(name)
+            elif how is None:
                 continue
-            after = tokens[i + 1]
-            if how == LOUD_END:
-                if after:
-                    first = _bare(after)
-                    starts[first] = starts.get(first, 0) + 1
+            elif how == LOUD_END:
+                if tokens[i + 1] != BREAK:
+                    starts.append(_bare[tokens[i + 1]])
                 continue
-            kind, name = _after(after) if how == STOP_END else (self.LOWER, None)
-            if name is not None:
-                follows[name] = follows.get(name, 0) + 1
-            if len(word) == 1 and i and tokens[i][0] == word:
-                word = pair(tokens[i - 1], word)
+            else:
+                kind = 0
             if word:
-                counts = before.get(word)
-                if counts is None:
-                    counts = before[word] = [0, 0, 0, 0]
-                counts[kind] += 1
+                if len(word) == 1 and i and token[0] == word and tokens[i - 1] != BREAK:
+                    word = pair[tokens[i - 1], word]
+                places[kind].append(word)
+        self._counts = None
 
     def add(self, other: "Evidence") -> None:
         """Add the counts of a document to those of many."""
-        for word, counts in other.before.items():
-            mine = self.before.get(word)
-            if mine is None:
-                self.before[word] = counts
-            else:
-                for i in range(4):
-                    mine[i] += counts[i]
-        for mine, more in ((self.starts, other.starts), (self.follows, other.follows)):
-            for word, n in more.items():
-                mine[word] = mine.get(word, 0) + n
+        for mine, more in zip(self.places, other.places):
+            mine += more
+        self._counts = None
 
 
 def verdict(lower: int, digit: int, other: int, end: int, initial: bool = False) -> tuple[bool, bool, bool] | None:
@@ -343,28 +400,35 @@ def settle(o: Open, words: dict[str, tuple[bool, bool, bool]], starters: dict[st
 class Document:
     """The paragraphs of one text, the evidence in it, and its units as far as it can tell.
 
-    ``solid``: start, end, start, end, ... of certain units. ``pieces``: (start, end, Open before it, None for the first of a run) in order;
-    neighbours of a run are one unit if the boundary between them turns out to be none.
+    ``starts``, ``ends``: pieces, those of a paragraph in order. ``gates``: for each the number of the question (the fields of ``Open``)
+    that decides whether it begins a unit, else it is one with the piece before it; -1 where it does in any case. ``questions``: their numbers.
     """
 
-    def __init__(self, text: str):
-        self.text, self.solid, self.pieces = text, [], []
+    def __init__(self, text: str, questions: dict[tuple, int] | None = None):
+        self.starts, self.ends, self.gates = [], [], []
+        self.questions = {} if questions is None else questions
         self.evidence = Evidence()
         parts = paragraphs(text)
         head = head_length(text, parts)
         thai = is_thai(text)
-        todo = []
+        todo, read = [], []
         for i, (a, b) in enumerate(parts):
             p = text[a:b]
             here = thai and is_thai(p)
             line = is_line(p) and (not here or DOCKET.search(p) is not None)
             if i < head or line and not STOPS.search(p):
-                self.solid += (a, b)
+                self.starts.append(a)
+                self.ends.append(b)
+                self.gates.append(-1)
                 continue
             strict = line and not is_loud(p)
             if not strict and not here:
-                self.evidence.read(p)
+                read.append(p)
             todo.append((p, a, here, strict))
+        if read:
+            self.evidence.read(*read)
+        self.plain = self.evidence.plain
+        self.lower, self.digit, self.other, self.end, self.begun, self.follows = self.evidence.counts
         for item in todo:
             self._cut(*item)
 
@@ -373,8 +437,8 @@ class Document:
         start, size = 0, len(p)
         fresh = free = number.end() if number else 0  # where the text of the present sentence begins, and what is not yet read
         earlier = 0  # where it begins if the open boundary before it is none
-        gate: Open | None = None
-        pieces: list[tuple[int, int, Open | None]] = []
+        gate: tuple | None = None
+        starts, ends_at, gates, ask = self.starts, self.ends, self.gates, self.questions
         for m in (THAI_MARKS if thai else MARKS).finditer(p, fresh):
             s = m.start()
             if s < free:
@@ -382,19 +446,33 @@ class Document:
             c = p[s]
             end, ends = 0, False
             if c == ".":
-                e = s + 1
+                end = e = s + 1
                 after = p[e : e + 1]
-                if after.isdigit() or after.islower():
+                following = TOO_FAR
+                if after == " ":
+                    blank = p.find(" ", e + 1)
+                    following = _next[p[e + 1 : blank] if blank > 0 else p[e + 1 :]]
+                    if following[0] is None:
+                        continue
+                if following is not TOO_FAR:
+                    free = e
+                    at = p.rfind(" ", 0, s) + 1
+                    ends = (self._line_ends if strict else self._stop_ends)(p, at, s, e + 1, _stop[p[at:s]], following)
+                elif after.isdigit() or after.islower():
                     continue
-                if after and after in TERMINATORS:
-                    e = STOPS.match(p, s).end()
-                end = free = closed = self._closers(p, e) if after in CLOSERS or e > s + 1 else e
-                ends = closed < size and self._ends(p, s, e, closed, strict)
+                else:
+                    if after and after in TERMINATORS:
+                        e = STOPS.match(p, s).end()
+                    end = free = closed = self._closers(p, e) if after in CLOSERS or e > s + 1 else e
+                    ends = closed < size and self._ends(p, s, e, closed, strict)
             elif c in QUOTES:
                 span = QUOTES[c].match(p, s)
                 if span:
                     end = free = span.end()
-                    ends = free < size and not strict and self._either(gate if s == fresh else None, *[self._quote_ends(p, f, s, free, thai) for f in (fresh, earlier)])
+                    if free < size and not strict and (free == s + 2 or p[free - 2] in QUOTE_ENDS):
+                        ends = self._quote_ends(p, fresh, s, free, thai)
+                        if gate and s == fresh:
+                            ends = self._either(gate, ends, self._quote_ends(p, earlier, s, free, thai))
             elif c in BRACKETS:
                 span = BRACKETS[c].match(p, s)
                 if span:
@@ -420,26 +498,22 @@ class Document:
                 free += 1
             if free >= size:
                 break
-            pieces.append((base + start, base + end, gate))
+            starts.append(base + start)
+            ends_at.append(base + end)
+            gates.append(-1 if gate is None else ask.setdefault(gate, len(ask)))
             if ends is True:
-                self._close(pieces)
-                pieces, gate = [], None
+                gate = None
             else:
                 gate, earlier = ends, fresh
             start = fresh = free
-        pieces.append((base + start, base + size, gate))
-        self._close(pieces)
-
-    def _close(self, pieces: list[tuple[int, int, Open | None]]) -> None:
-        if len(pieces) == 1:
-            self.solid += pieces[0][:2]
-        else:
-            self.pieces += pieces
+        starts.append(base + start)
+        ends_at.append(base + size)
+        gates.append(-1 if gate is None else ask.setdefault(gate, len(ask)))
 
     @staticmethod
-    def _either(gate: Open | None, if_cut: bool, if_not: bool) -> bool | Open:
+    def _either(gate: tuple | None, if_cut: bool, if_not: bool) -> bool | tuple:
         """A boundary that may depend on the open one just before it."""
-        return if_cut if gate is None or if_cut == if_not else gate if if_cut else gate._replace(negate=not gate.negate)
+        return if_cut if gate is None or if_cut == if_not else gate if if_cut else (*gate[:-1], not gate[-1])
 
     @staticmethod
     def _closers(p: str, e: int) -> int:
@@ -458,7 +532,7 @@ class Document:
 
     def _quote_ends(self, p: str, fresh: int, s: int, e: int, thai: bool) -> bool:
         """Whether the sentence that begins at ``fresh`` ends with the quotation p[s:e]."""
-        inner = p[s + 1 : e - 1].rstrip("â€ ")
+        inner = p[s + 1 : e - 1].rstrip(BEFORE_QUOTE)
         if inner[-1:] not in TERMINATORS or thai or self._goes_on(p, e):
             return False
         at = BLANKS.match(p, e).end()
@@ -471,7 +545,7 @@ class Document:
             return False
         return lead[-1:] in ":：,，،、" and bool(lead)
 
-    def _ends(self, p: str, s: int, e: int, closed: int, strict: bool) -> bool | Open:
+    def _ends(self, p: str, s: int, e: int, closed: int, strict: bool) -> bool | tuple:
         """Whether the stop p[s:e], with the closers up to ``closed``, ends a sentence."""
         after = p[closed]
         if e != s + 1 or p[s] != ".":
@@ -483,11 +557,12 @@ class Document:
                 nxt = p[at : at + 1]
                 return not strict and (nxt.isupper() or nxt in "¿¡" and bool(nxt))
         token = TOKEN.match(p, closed)[1]
-        then, starter = _next(token)
-        if then is None:
+        following = _next[token]
+        if following[0] is None:
             return False
         at = p.rfind(" ", 0, s) + 1
-        word = _last_word(p[at:s])
+        stop = _stop[p[at:s]]
+        word = stop[1]
         if not after.isspace():  # a boundary may lack its blank
             if after.isalpha():
                 tail = word[-4:]
@@ -497,14 +572,7 @@ class Document:
                     return False
             elif after not in OPENERS:
                 return False
-        before = p[s - 1 : s]
-        if before > "\u08ff" and ("\u0900" <= before <= "\u097f" or "\u0e00" <= before <= "\u0e7f" or CJK.match(before)):
-            return False
-        if len(word) == 1 and word.isalpha():
-            word = pair(self._word_before(p, at if "\n" not in p[at:s] else s - 1), word)
-        if then == IF_BRACKET:
-            then = YES if self._is_sentence(p, p.find(token[0], closed)) else NO
-        return self._stop_ends(word, token, then, starter, strict)
+        return (self._line_ends if strict else self._stop_ends)(p, at, s, closed, stop, following)
 
     @staticmethod
     def _word_before(p: str, at: int) -> str:
@@ -514,59 +582,55 @@ class Document:
         words = p[p.rfind(" ", 0, at) + 1 : at].split()
         return words[-1] if words else ""
 
-    def _stop_ends(self, word: str, token: str, then: int, starter: str | None, strict: bool) -> bool | Open:
-        """The same for a full stop after ``word``; ``then`` and ``starter``: of ``_next``."""
-        if strict:  # in what may be a line of its own, only after a word that is not short and in lower case
-            if len(word) < 4 or not word.isalpha() or not word[:1].islower() or not token[:1].isupper():
-                return False
-            abbr = self._is_abbreviation(word)
-            return not abbr if abbr is not None else Open(word, None, self._form(word), NO, None, False)
-        last = word[-1:]
-        if last.isalpha():
-            abbr = True if word[-2:-1] == " " else self._is_abbreviation(word)
+    def _line_ends(self, p: str, at: int, s: int, closed: int, stop: tuple, following: tuple) -> bool | tuple:
+        """``_stop_ends`` in what may be a line of its own: only after a word that is not short and in lower case."""
+        kind, word, form = stop
+        if kind == NO_STOP or len(word) < 4 or not word.isalpha() or not word[0].islower() or not TOKEN.match(p, closed)[1][:1].isupper():
+            return False
+        abbr, form = self._told(word, form)
+        return not abbr if abbr is not None else (word, None, form, NO, None, False, False)
+
+    def _stop_ends(self, p: str, at: int, s: int, closed: int, stop: tuple, following: tuple) -> bool | tuple:
+        """The same for a full stop at ``s`` with p[at:s] before it and what follows at or after ``closed``; ``stop``: of ``_stop``, ``following``: of ``_next``."""
+        kind, word, form = stop
+        then, starter, small = following
+        if kind == WORD:
+            abbr, form = self._told(word, form)
             if abbr is False:
                 return True
-            form = self._form(word)
+        elif kind == LETTER:
+            word = pair[self._word_before(p, at if "\n" not in p[at:s] else s - 1), word]
+            abbr, form = True, self._told(word, 2 if "�" in word or "Ã" in word else 1)[1]
+        elif kind != ORDINAL:
+            return kind == OTHER_END
         else:
-            if not last.isdigit() or not PLAIN_NUMBER.fullmatch(word):
-                return True
+            token = TOKEN.match(p, closed)[1]
             if then == UNLESS_DIGITS or token[:1].islower():
                 return False
             if token[:1] == "§":
                 return True
-            word, abbr, form, then, starter = None, True, 2, IF_STARTER, _bare(token)
-        starts = False
+            word, abbr, form, then, starter = None, True, 2, IF_STARTER, _bare[token]
+            small = starter.lower()
         if then == IF_STARTER:
-            if self._begins(starter):
-                if word is None:
-                    return True
-                then, starter = YES, None
-            else:
-                starts = self.evidence.follows.get(starter, 0) <= 1
-        return False if abbr and then == NO else Open(word, abbr, form, then, starter, starts)
-
-    def _begins(self, word: str) -> bool:
-        """Whether the document shows that a capitalized word begins sentences."""
-        if word in self.evidence.starts:
-            return True
-        small = word.lower()
-        return small != word and small in self.evidence.plain
-
-    def _is_abbreviation(self, word: str) -> bool | None:
-        """What the document shows about a word before a stop; None if nothing, or both."""
-        counts = self.evidence.before.get(word)
-        if word in self.evidence.plain:
-            return None if counts and (counts[0] or counts[1]) else False
-        return True if counts and counts[0] and not counts[3] else None
-
-    def _form(self, word: str) -> int:
-        """What the uncertain occurrences in the document (before digits), or else the form of a word, say where the corpus knows too little."""
-        counts = self.evidence.before.get(word)
-        if counts and counts[0] + counts[1] and not counts[3] and counts[0] + counts[1] >= counts[2]:
-            return 1
-        if "�" in word or "Ã" in word:
-            return 2
-        return int(word[-2:-1] == " " or "." in word and word.replace(".", "").isalpha())
+            if starter not in self.begun and (not small or small == starter or small not in self.plain):
+                return word, abbr, form, then, starter, self.follows.get(starter, 0) <= 1, False
+            if word is None:  # the document shows that the next word begins sentences
+                return True
+            then = YES
+        elif then == IF_BRACKET:
+            then = YES if self._is_sentence(p, BLANKS.match(p, closed).end()) else NO
+        return False if abbr and then == NO else (word, abbr, form, then, None, False, False)
+
+    def _told(self, word: str, form: int) -> tuple[bool | None, int]:
+        """What the document shows about a word before a stop: whether it is an abbreviation, None if nothing, or both; and what its uncertain
+        occurrences (before digits), or else its form, say where the corpus knows too little."""
+        lower = self.lower.get(word, 0)
+        inside = lower + self.digit.get(word, 0)
+        plain = word in self.plain
+        if not inside:
+            return (False if plain else None), form
+        ends = word in self.end
+        return (None if plain or ends or not lower else True), (1 if not ends and inside >= self.other.get(word, 0) else form)
 
     @staticmethod
     def _is_sentence(p: str, s: int) -> bool:
@@ -578,9 +642,10 @@ class Document:
 def units(text: str, words: dict[str, tuple[bool, bool, bool]], starters: dict[str, float]) -> list[int]:
     """Start, end, start, end, ... of the units of one text, with a given corpus."""
     doc = Document(text)
-    out = list(zip(doc.solid[::2], doc.solid[1::2]))
-    for a, b, gate in doc.pieces:
-        if gate is None or settle(gate, words, starters):
+    answers = [settle(Open(*q), words, starters) for q in doc.questions]
+    out: list[tuple[int, int]] = []
+    for a, b, gate in zip(doc.starts, doc.ends, doc.gates):
+        if gate < 0 or answers[gate]:
             out.append((a, b))
         else:
             out[-1] = (out[-1][0], b)
@@ -595,28 +660,24 @@ TEXTS_IN_GROUP = 250
 class Group:
     """What some texts, read together, come to.
 
-    ``solid``: start, end, ... of certain units, ``solid_of``: how many of them each text has. ``starts``, ``ends``: pieces of open runs, in order, ``piece_of``: how many of them each text has.
-    ``gates``: for each piece the number of the question that decides whether it begins a unit, -1 where it does in any case.
+    ``starts``, ``ends``, ``gates``: of ``Document``, for one text after the other; ``piece_of``: how many pieces each text has.
     ``questions``: the different open boundaries; ``seen``: evidence for the corpus.
     """
 
-    def __init__(self, texts: list[str | None]):
-        self.solid, self.solid_of, self.starts, self.ends, self.gates, self.piece_of = [], [], [], [], [], []
-        self.questions: dict[Open, int] = {}
+    def __init__(self, texts: Iterable[str | None]):
+        self.starts, self.ends, self.gates, self.piece_of = [], [], [], []
+        self.questions: dict[tuple, int] = {}
         self.seen = Evidence()
-        ask = self.questions
         for text in texts:
-            doc = Document(text) if text else None
-            if doc:
-                self.solid += doc.solid
-                if doc.pieces:
-                    starts, ends, gates = zip(*doc.pieces)
-                    self.starts += starts
-                    self.ends += ends
-                    self.gates += [-1 if g is None else ask.setdefault(g, len(ask)) for g in gates]
-                self.seen.add(doc.evidence)
-            self.solid_of.append(len(doc.solid) // 2 if doc else 0)
-            self.piece_of.append(len(doc.pieces) if doc else 0)
+            if not text:
+                self.piece_of.append(0)
+                continue
+            doc = Document(text, self.questions)
+            self.starts += doc.starts
+            self.ends += doc.ends
+            self.gates += doc.gates
+            self.piece_of.append(len(doc.starts))
+            self.seen.add(doc.evidence)
 
 
 def _one(values: list, kind: pa.DataType) -> pa.Array:
@@ -625,7 +686,7 @@ def _one(values: list, kind: pa.DataType) -> pa.Array:
 
 
 def _layout(ident: pa.DataType) -> list[tuple[str, pa.DataType]]:
-    lists = [("idents", ident), ("solid", pa.int64()), ("solid_of", pa.int32()), ("starts_at", pa.int64()), ("ends_at", pa.int64()), ("gates", pa.int32()), ("piece_of", pa.int32())]
+    lists = [("idents", ident), ("starts_at", pa.int64()), ("ends_at", pa.int64()), ("gates", pa.int32()), ("piece_of", pa.int32())]
     return [
         ("kind", pa.string()), ("grp", pa.int64()), *[(n, pa.list_(t)) for n, t in lists], ("question", pa.int32()), *zip(Open._fields, OPEN_TYPES),
         ("counted", pa.string()), *[(n, pa.int64()) for n in COUNTS],
@@ -644,10 +705,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             group = Group(batch.column(1).to_pylist())
             seen = group.seen
             counts = [(f"stop {w}", *c) for w, c in seen.before.items()]
-            counts += [(f"start {w}", seen.starts.get(w, 0), seen.follows.get(w, 0), 0, 0) for w in seen.starts.keys() | seen.follows.keys()]
-            lists = ("solid", "solid_of", "starts", "ends", "gates", "piece_of")
-            kinds = [t.value_type for _, t in layout[3:9]]
-            yield _rows(layout, "group", 1, {"grp": [number], "idents": _one(batch.column(0), None), **{n: _one(getattr(group, a), t) for (n, _), a, t in zip(layout[3:9], lists, kinds)}})
+            starts, follows = seen.starts, seen.follows
+            counts += [(f"start {w}", starts.get(w, 0), follows.get(w, 0), 0, 0) for w in starts.keys() | follows.keys()]
+            lists = ("starts", "ends", "gates", "piece_of")
+            kinds = [t.value_type for _, t in layout[3:7]]
+            yield _rows(layout, "group", 1, {"grp": [number], "idents": _one(batch.column(0), None), **{n: _one(getattr(group, a), t) for (n, _), a, t in zip(layout[3:7], lists, kinds)}})
             if group.questions:
                 asked = dict(zip(Open._fields, zip(*group.questions)))
                 yield _rows(layout, "question", len(group.questions), {"grp": [number] * len(group.questions), "question": list(group.questions.values()), **asked})
@@ -668,16 +730,15 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups with the answers to their questions -> (ident, start_char, end_char)."""
     for batch in batches:
         for i in range(batch.num_rows):
-            idents, solid, solid_of, starts, ends, gates, piece_of, answers = (batch.column(c)[i].values for c in range(8))
-            solid, starts, ends, gates = (x.to_numpy() for x in (solid, starts, ends, gates))
+            idents, starts, ends, gates, piece_of, answers = (batch.column(c)[i].values for c in range(6))
+            starts, ends, gates = (x.to_numpy() for x in (starts, ends, gates))
             cuts = gates < 0
             if answers is not None:
                 cuts |= answers.to_numpy(zero_copy_only=False)[gates]  # a gate of -1 is true before
             first = np.flatnonzero(cuts)
             last = np.append(first[1:], len(starts))[: len(first)] - 1
-            owners = np.repeat(np.arange(len(idents)), solid_of.to_numpy()), np.repeat(np.arange(len(idents)), piece_of.to_numpy())[first]
-            ids = idents.take(pa.array(np.concatenate(owners)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate([solid[::2], starts[first]])), pa.array(np.concatenate([solid[1::2], ends[last]]))], ["ident", "start_char", "end_char"])
+            owners = np.repeat(np.arange(len(idents)), piece_of.to_numpy())[first]
+            yield pa.RecordBatch.from_arrays([idents.take(pa.array(owners)), pa.array(starts[first]), pa.array(ends[last])], ["ident", "start_char", "end_char"])
 
 
 def corpus_words(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -731,6 +792,6 @@ def sentence_units(docs: DataFrame, ident: str, text: str) -> DataFrame:
     asked = asked.join(words, F.col("word") == F.col("c_word"), "left").join(starters, F.col("starter") == F.col("c_starter"), "left")
     told = asked.select("grp", F.struct("question", _settled().alias("cut")).alias("q")).groupBy("grp").agg(F.transform(F.array_sort(F.collect_list("q")), lambda q: q["cut"]).alias("answers"))
     told = box.table(told, "answers").withColumnRenamed("grp", "a_grp")
-    groups = read.where("kind = 'group'").join(told, F.col("grp") == F.col("a_grp"), "left").select(*[n for n, _ in _layout(pa.int64())[2:9]], "answers")
+    groups = read.where("kind = 'group'").join(told, F.col("grp") == F.col("a_grp"), "left").select(*[n for n, _ in _layout(pa.int64())[2:7]], "answers")
     placed = groups.mapInArrow(_place, T.StructType([T.StructField("ident", field.dataType), T.StructField("start_char", T.LongType()), T.StructField("end_char", T.LongType())]))
     return placed.withColumnRenamed("ident", ident)
